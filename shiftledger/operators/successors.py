@@ -3,15 +3,15 @@
 ``next_event`` is a ``lead`` over (employee, day) ordered by time, event id and
 event type.  A window keeps one group in one task, which is wrong for an
 employee-day that holds a large share of all events (a shared badge, an event
-delivered over and over).  So the groups are split first:
+delivered over and over).  So the size of the groups is checked first: events
+are counted per hash bucket of (employee, day), which reads two columns and
+yields at most ``BUCKETS`` rows.
 
-* Events are counted per hash bucket of (employee, day).  At most ``BUCKETS``
-  rows come out, which bounds what is broadcast.
-* Events of ordinary buckets take the window: one shuffle.
-* Events of overfull buckets take ``_successors_by_slot``, which never holds more
-  in one group than the distinct microseconds of a second, or the seconds of a
-  day.  Without an overfull bucket, adaptive execution drops that branch before
-  it reads anything.
+* No bucket is overfull: the window alone, one shuffle.
+* Some are: their events take ``_successors_by_slot``, which never holds more in
+  one group than the distinct microseconds of a second, or the seconds of a day.
+  The overfull buckets, ``BUCKETS`` rows at most, are broadcast to tell the
+  events apart; all other events still take the window.
 
 Both ways give the same rows.
 """
@@ -39,15 +39,15 @@ def _bucket() -> Column:
     return F.pmod(F.xxhash64("employee_id", "day"), F.lit(BUCKETS)).cast("int")
 
 
-def hot_buckets(events: DataFrame, hot_rows: int, hot_ratio: float) -> DataFrame:
-    """Buckets with too many rows for one task; at most ``BUCKETS`` rows."""
-    counts = events.groupBy(_bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
-    # The one-partition window runs over the bucket counts, not over events.
-    total = F.sum("rows").over(Window.partitionBy(F.lit(0)))
-    limit = F.greatest(F.lit(float(hot_rows)), total * hot_ratio / BUCKETS)
-    return (
-        counts.withColumn("limit", limit).filter(F.col("rows") > F.col("limit")).select("bucket")
-    )
+def _bucket_counts(events: DataFrame) -> DataFrame:
+    return events.groupBy(_bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def hot_limit(events: DataFrame, hot_rows: int, hot_ratio: float) -> float | None:
+    """Row limit of a bucket, or None if no bucket exceeds it."""
+    largest, total = _bucket_counts(events).agg(F.max("rows"), F.sum("rows")).first()
+    limit = max(hot_rows, hot_ratio * (total or 0) / BUCKETS)
+    return limit if (largest or 0) > limit else None
 
 
 def _successors_by_window(events: DataFrame) -> DataFrame:
@@ -129,16 +129,17 @@ def successors(
     ``next_ts`` is null for the last event of an employee-day.  ``is_copy``
     marks a row whose event equals the one before it in every column.  Copies
     between the first and the last may be left out; they repeat the first.
-    ``split_hot=False`` skips the counting pass, for data known to have no
-    overfull employee-day.
+    ``split_hot=False`` skips the count, for data known to have no overfull
+    employee-day.
     """
     dated = events.withColumn("day", calendar_day(F.col("event_ts"))).select(*_EVENT)
-    if not split_hot:
+    limit = hot_limit(dated, hot_rows, hot_ratio) if split_hot else None
+    if limit is None:
         return _successors_by_window(dated)
-    hot = F.broadcast(hot_buckets(dated, hot_rows, hot_ratio))
+    hot = _bucket_counts(dated).filter(F.col("rows") > limit).select("bucket")
     keyed = dated.withColumn("bucket", _bucket())
-    ordinary = keyed.join(hot, "bucket", "left_anti").drop("bucket")
-    overfull = keyed.join(hot, "bucket", "left_semi").drop("bucket")
+    ordinary = keyed.join(F.broadcast(hot), "bucket", "left_anti").drop("bucket")
+    overfull = keyed.join(F.broadcast(hot), "bucket", "left_semi").drop("bucket")
     return _successors_by_window(ordinary).unionByName(_successors_by_slot(overfull))
 
 
