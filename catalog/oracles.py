@@ -365,6 +365,7 @@ ORACLES: dict[str, str] = {
     "verdict": _on(_SUMMARY, "SELECT login, day, full_name, verdict FROM summary"),
     "summary_report": _SUMMARY_REPORT,
     "summary_report_split": _SUMMARY_REPORT,
+    "summary_report_large_roster": _SUMMARY_REPORT,
     "summary_labeled": _on(_SUMMARY, f"SELECT {_named(_SUMMARY_COLUMNS)} FROM summary"),
     "column_widths": _on(_SUMMARY, _widths()),
     "facet_values": _on(_SUMMARY, _facets()),

@@ -19,7 +19,7 @@ from shiftledger.functions.text import full_name
 from shiftledger.operators import browse, filters, roster
 from shiftledger.operators.activity import activity, event_intervals, open_end
 from shiftledger.operators.labels import DETAIL_LABELS, SUMMARY_LABELS, labeled
-from shiftledger.operators.rollup import login_days, spread_login_facts
+from shiftledger.operators.rollup import login_days, spread_login_facts_by_window
 from shiftledger.operators.successors import next_event
 from shiftledger.operators.widths import column_widths
 from shiftledger.operators.work_days import work_days
@@ -127,7 +127,7 @@ def _first_break(t: Tables) -> DataFrame:
 
 
 def _summary_times(t: Tables) -> DataFrame:
-    return spread_login_facts(members(t, *REPORT)).select(
+    return spread_login_facts_by_window(members(t, *REPORT)).select(
         "login",
         "day",
         "full_name",
@@ -237,6 +237,7 @@ _ON_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "verdict": lambda t: _summary(t, "verdict"),
     "summary_report": lambda t: summary_report(t, *REPORT),
     "summary_report_split": lambda t: summary_report(t, *REPORT, **ALL_HOT),
+    "summary_report_large_roster": lambda t: summary_report(t, *REPORT, small_roster=False),
     "summary_labeled": lambda t: labeled(summary_report(t, *REPORT), SUMMARY_LABELS),
     "column_widths": lambda t: column_widths(labeled(summary_report(t, *REPORT), SUMMARY_LABELS)),
     # browsing

@@ -7,7 +7,7 @@ pre-aggregated.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftledger.functions.clock import minute_of_day
@@ -38,10 +38,12 @@ def break_marker(break_type: int) -> Column:
 
 def with_facts(activity: DataFrame, break_type: int) -> DataFrame:
     """Start and stop minute of each row, and its break marker if it is one."""
-    return (
-        activity.withColumn("start_minute", minute_of_day(F.col("start_ts")))
-        .withColumn("stop_minute", minute_of_day(F.col("stop_ts")))
-        .withColumn("first_break", break_marker(break_type))
+    return activity.select(
+        "employee_id",
+        "day",
+        minute_of_day(F.col("start_ts")).alias("start_minute"),
+        minute_of_day(F.col("stop_ts")).alias("stop_minute"),
+        break_marker(break_type).alias("first_break"),
     )
 
 
@@ -63,14 +65,28 @@ def login_days(members: DataFrame) -> DataFrame:
     return merge_facts(members, LOGIN_DAY)
 
 
-def spread_login_facts(members: DataFrame) -> DataFrame:
+def spread_login_facts_by_window(members: DataFrame) -> DataFrame:
     """Members with the facts of their login in place of their own.
 
-    A join, not a window: a window would put all members of a login into one
-    task, while adaptive execution can split a hot login of a join.  Each
-    member's own facts are among those of its login, so taking the better of
-    the two changes nothing; it keeps both sides reading the same columns of
-    ``members``, so that Spark computes and shuffles them once.
+    Puts all members of a login-day into one task, so it is for employee tables
+    whose size is known to be small.
+    """
+    login_day = Window.partitionBy(*LOGIN_DAY)
+    return members.select(
+        *MEMBER,
+        F.min("start_minute").over(login_day).alias("start_minute"),
+        F.max("stop_minute").over(login_day).alias("stop_minute"),
+        F.min("first_break").over(login_day).alias("first_break"),
+    )
+
+
+def spread_login_facts_by_join(members: DataFrame) -> DataFrame:
+    """The same for employee tables of any size.
+
+    Adaptive execution can split a hot login of a join.  Each member's own facts
+    are among those of its login, so taking the better of the two changes
+    nothing; it keeps both sides reading the same columns of ``members``, so
+    that Spark computes and shuffles them once.
     """
     logins = login_days(members).withColumnsRenamed({name: f"login_{name}" for name in FACTS})
     both = left_join_null_safe(members, logins, LOGIN_DAY)

@@ -63,6 +63,11 @@ def is_broadcastable(df: DataFrame) -> bool:
     return int(str(estimate)) <= threshold
 
 
+def has_small_roster(tables: Tables) -> bool:
+    """Whether Spark would broadcast each table of employees."""
+    return is_broadcastable(tables.employees) and is_broadcastable(tables.employee_attributes)
+
+
 def _attach(df: DataFrame, tables: Tables, row_exact: bool) -> DataFrame:
     df = join_attributes(df, tables.employee_attributes)
     if row_exact:
@@ -71,17 +76,19 @@ def _attach(df: DataFrame, tables: Tables, row_exact: bool) -> DataFrame:
     return df
 
 
-def enrich(activity: DataFrame, tables: Tables, row_exact: bool = True) -> DataFrame:
+def enrich(
+    activity: DataFrame, tables: Tables, small_roster: bool, row_exact: bool = True
+) -> DataFrame:
     """Activity with login, names, shift and attributes of its employee.
 
-    If the employee tables are small, each is joined to the activity directly
-    and Spark broadcasts it.  Otherwise the master data is put together first,
-    so that the activity is shuffled for one join instead of two; adaptive
-    execution splits a hot employee there.
+    A small roster is joined to the activity table by table, and Spark broadcasts
+    each.  Otherwise the master data is put together first, so that the activity
+    is shuffled for one join instead of two; adaptive execution splits a hot
+    employee there.
 
     ``row_exact=False`` leaves out the joins that can only repeat rows.
     """
     master = master_data(tables.employees)
-    if is_broadcastable(tables.employees) and is_broadcastable(tables.employee_attributes):
+    if small_roster:
         return _attach(join_employees(activity, master), tables, row_exact)
     return join_employees(activity, _attach(master, tables, row_exact))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftledger.functions import checks
@@ -22,16 +22,17 @@ from shiftledger.operators.rollup import (
     MEMBER,
     employee_days,
     merge_facts,
-    spread_login_facts,
+    spread_login_facts_by_join,
+    spread_login_facts_by_window,
     with_facts,
 )
-from shiftledger.operators.roster import enrich
+from shiftledger.operators.roster import enrich, has_small_roster
 from shiftledger.rules import DEFAULT_RULES, Rules
 from shiftledger.sources.tables import Tables
 
 
-def _with_full_name(df: DataFrame) -> DataFrame:
-    return df.withColumn("full_name", full_name(F.col("first_name"), F.col("last_name")))
+def _full_name() -> Column:
+    return full_name(F.col("first_name"), F.col("last_name")).alias("full_name")
 
 
 def detail_report(
@@ -48,13 +49,21 @@ def detail_report(
     for a repeatable report, and to both reports to have them agree.
     """
     rows = activity(tables, from_day, to_day, as_of or datetime.now(), rules, **split)
-    named = _with_full_name(enrich(rows, tables, not rules.assume_unique_dimensions))
+    named = enrich(
+        rows,
+        tables,
+        small_roster=has_small_roster(tables),
+        row_exact=not rules.assume_unique_dimensions,
+    )
     start, stop = F.col("start_ts"), F.col("stop_ts")
-    return (
-        named.withColumn("start_hm", time_of_day(start))
-        .withColumn("stop_hm", time_of_day(stop))
-        .withColumn("duration_hm", duration_text(start, stop, rules.zone))
-        .select(*DETAIL_LABELS)
+    computed = {
+        "full_name": _full_name(),
+        "start_hm": time_of_day(start),
+        "stop_hm": time_of_day(stop),
+        "duration_hm": duration_text(start, stop, rules.zone),
+    }
+    return named.select(
+        *[computed.get(name, F.col(name)).alias(name) for name in DETAIL_LABELS]
     )
 
 
@@ -62,8 +71,9 @@ def members(
     tables: Tables,
     from_day: date | str,
     to_day: date | str,
-    as_of: datetime | str,
+    as_of: datetime | str | None = None,
     rules: Rules = DEFAULT_RULES,
+    small_roster: bool | None = None,
     **split,
 ) -> DataFrame:
     """Distinct employee attributes per day, with the facts of those employees.
@@ -72,30 +82,28 @@ def members(
     changes neither distinct rows nor the facts, so the joins that could only
     repeat rows are left out.
     """
+    if small_roster is None:
+        small_roster = has_small_roster(tables)
     worked = with_facts(
         work_intervals(tables.work_records, from_day, to_day, rules), rules.break_type
     )
-    clocked = employee_days(
-        event_intervals(tables.clock_events, from_day, to_day, as_of, rules, **split),
-        rules.break_type,
+    intervals = event_intervals(
+        tables.clock_events, from_day, to_day, as_of or datetime.now(), rules, **split
     )
-    days = worked.select(*clocked.columns).unionByName(clocked)
-    named = _with_full_name(enrich(days, tables, row_exact=False))
-    return merge_facts(named, MEMBER)
+    days = worked.unionByName(employee_days(intervals, rules.break_type))
+    named = enrich(days, tables, small_roster, row_exact=False)
+    return merge_facts(named.withColumn("full_name", _full_name()), MEMBER)
 
 
 def employee_day_rows(
     tables: Tables,
     from_day: date | str,
     to_day: date | str,
-    as_of: datetime | str | None = None,
     rules: Rules = DEFAULT_RULES,
     **split,
 ) -> DataFrame:
     """The distinct attribute rows alone."""
-    return members(tables, from_day, to_day, as_of or datetime.now(), rules, **split).select(
-        *MEMBER
-    )
+    return members(tables, from_day, to_day, rules=rules, **split).select(*MEMBER)
 
 
 def summary_report(
@@ -104,41 +112,37 @@ def summary_report(
     to_day: date | str,
     as_of: datetime | str | None = None,
     rules: Rules = DEFAULT_RULES,
+    small_roster: bool | None = None,
     **split,
 ) -> DataFrame:
     """One row per distinct employee attributes and day, graded.
 
     Employees who share a login share start, stop and first break.
+    ``small_roster`` overrides the size check of the employee tables.
     """
-    everyone = members(tables, from_day, to_day, as_of or datetime.now(), rules, **split)
-    graded = spread_login_facts(everyone).withColumn(
-        "worked", worked_minutes(F.col("start_minute"), F.col("stop_minute"))
-    )
-    start, stop, worked = F.col("start_minute"), F.col("stop_minute"), F.col("worked")
-    first = F.col("first_break")
-    return (
-        graded.withColumn("start_hm", minutes_text(start))
-        .withColumn("stop_hm", minutes_text(stop))
-        .withColumn("worked_hm", minutes_text(worked))
-        .withColumn(
-            "break_hm",
-            duration_text(first["start_ts"], first["stop_ts"], rules.zone),
-        )
-        .withColumn("comment", F.lit(None).cast("string"))
-        .withColumn(
-            "start_check", checks.start_check(start, clock_to_minutes(rules.start_limit))
-        )
-        .withColumn("end_check", checks.end_check(worked, stop, rules.min_minutes))
-        .withColumn("hours_check", checks.hours_check(worked, rules.min_minutes))
-        .withColumn("break_check", checks.break_check(F.col("break_hm")))
-        .withColumn(
-            "verdict",
-            checks.verdict(
-                F.col("start_check"),
-                F.col("end_check"),
-                F.col("hours_check"),
-                F.col("break_check"),
-            ),
-        )
-        .select(*SUMMARY_LABELS)
+    if small_roster is None:
+        small_roster = has_small_roster(tables)
+    everyone = members(tables, from_day, to_day, as_of, rules, small_roster, **split)
+    spread = spread_login_facts_by_window if small_roster else spread_login_facts_by_join
+
+    start, stop, first = F.col("start_minute"), F.col("stop_minute"), F.col("first_break")
+    worked = worked_minutes(start, stop)
+    break_hm = duration_text(first["start_ts"], first["stop_ts"], rules.zone)
+    graded = {
+        "start_check": checks.start_check(start, clock_to_minutes(rules.start_limit)),
+        "end_check": checks.end_check(worked, stop, rules.min_minutes),
+        "hours_check": checks.hours_check(worked, rules.min_minutes),
+        "break_check": checks.break_check(break_hm),
+    }
+    computed = {
+        "start_hm": minutes_text(start),
+        "stop_hm": minutes_text(stop),
+        "worked_hm": minutes_text(worked),
+        "break_hm": break_hm,
+        "comment": F.lit(None).cast("string"),
+        **graded,
+        "verdict": checks.verdict(*graded.values()),
+    }
+    return spread(everyone).select(
+        *[computed.get(name, F.col(name)).alias(name) for name in SUMMARY_LABELS]
     )
