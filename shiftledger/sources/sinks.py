@@ -30,5 +30,7 @@ def export_csv(df: DataFrame, directory: str) -> str:
     the header.
     """
     path = f"{directory}/report-{uuid4()}"
-    df.hint("rebalance").write.option("header", True).csv(path)
+    df.hint("rebalance").write.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
     return path
