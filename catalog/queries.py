@@ -19,14 +19,14 @@ from shiftledger.functions.text import full_name
 from shiftledger.operators import browse, filters, roster
 from shiftledger.operators.activity import activity, event_intervals, open_end
 from shiftledger.operators.labels import DETAIL_LABELS, SUMMARY_LABELS, labeled
-from shiftledger.operators.rollup import login_days, spread_login_facts_by_window
+from shiftledger.operators.rollup import login_days
 from shiftledger.operators.successors import next_event
 from shiftledger.operators.widths import column_widths
 from shiftledger.operators.work_days import work_days
 from shiftledger.plans.reports import (
     detail_report,
     employee_day_rows,
-    members,
+    people,
     summary_report,
 )
 from shiftledger.rules import DEFAULT_RULES, Rules
@@ -113,7 +113,7 @@ def _detail_rows(t: Tables) -> DataFrame:
 
 def _login_facts(t: Tables) -> DataFrame:
     first = F.col("first_break")
-    return login_days(members(t, *REPORT)).select(
+    return login_days(people(t, *REPORT)).select(
         "day",
         "login",
         minutes_text(F.col("start_minute")).alias("start_hm"),
@@ -127,13 +127,7 @@ def _first_break(t: Tables) -> DataFrame:
 
 
 def _summary_times(t: Tables) -> DataFrame:
-    return spread_login_facts_by_window(members(t, *REPORT)).select(
-        "login",
-        "day",
-        "full_name",
-        minutes_text(F.col("start_minute")).alias("start_hm"),
-        minutes_text(F.col("stop_minute")).alias("stop_hm"),
-    )
+    return _summary(t, "start_hm", "stop_hm")
 
 
 def _browse(operator: Callable[..., DataFrame], t: Tables, *args, **kwargs) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Roll-ups of the activity: per employee-day, per member, per login-day.
+"""Roll-ups of the activity: per employee-day, per person-day, per login-day.
 
 Times of day are compared as minutes, which order as their ``HH:MM`` texts do.
 Every aggregate merges partial results, so a hot employee or login arrives
@@ -25,6 +25,7 @@ MEMBER = [
     "position",
     "shift_id",
 ]
+PERSON_DAY = ["day", "master_id", "login"]
 LOGIN_DAY = ["day", "login"]
 FACTS = ["start_minute", "stop_minute", "first_break"]
 
@@ -60,38 +61,49 @@ def employee_days(activity: DataFrame, break_type: int) -> DataFrame:
     return merge_facts(with_facts(activity, break_type), ["employee_id", "day"])
 
 
-def login_days(members: DataFrame) -> DataFrame:
+def person_days(days: DataFrame, employees: DataFrame) -> DataFrame:
+    """Employee-days by day, master id and login; all unknown employees are one.
+
+    Only the login is attached here, so that what is shuffled next stays narrow.
+    """
+    logins = employees.select(F.col("employee_id").alias("master_id"), "login")
+    return merge_facts(
+        days.join(logins, days["employee_id"] == logins["master_id"], "left"), PERSON_DAY
+    )
+
+
+def login_days(people: DataFrame) -> DataFrame:
     """Facts shared by everyone with the same login; null is a login too."""
-    return merge_facts(members, LOGIN_DAY)
+    return merge_facts(people, LOGIN_DAY)
 
 
-def spread_login_facts_by_window(members: DataFrame) -> DataFrame:
-    """Members with the facts of their login in place of their own.
+def spread_login_facts_by_window(people: DataFrame) -> DataFrame:
+    """Person-days with the facts of their login in place of their own.
 
-    Puts all members of a login-day into one task, so it is for employee tables
-    whose size is known to be small.
+    Puts all employees of a login-day into one task, so it is for employee
+    tables whose size is known to be small.
     """
     login_day = Window.partitionBy(*LOGIN_DAY)
-    return members.select(
-        *MEMBER,
+    return people.select(
+        *PERSON_DAY,
         F.min("start_minute").over(login_day).alias("start_minute"),
         F.max("stop_minute").over(login_day).alias("stop_minute"),
         F.min("first_break").over(login_day).alias("first_break"),
     )
 
 
-def spread_login_facts_by_join(members: DataFrame) -> DataFrame:
+def spread_login_facts_by_join(people: DataFrame) -> DataFrame:
     """The same for employee tables of any size.
 
-    Adaptive execution can split a hot login of a join.  Each member's own facts
+    Adaptive execution can split a hot login of a join.  Each person's own facts
     are among those of its login, so taking the better of the two changes
-    nothing; it keeps both sides reading the same columns of ``members``, so
-    that Spark computes and shuffles them once.
+    nothing; it keeps both sides reading the same columns of ``people``, so that
+    Spark computes and shuffles them once.
     """
-    logins = login_days(members).withColumnsRenamed({name: f"login_{name}" for name in FACTS})
-    both = left_join_null_safe(members, logins, LOGIN_DAY)
+    logins = login_days(people).withColumnsRenamed({name: f"login_{name}" for name in FACTS})
+    both = left_join_null_safe(people, logins, LOGIN_DAY)
     return both.select(
-        *MEMBER,
+        *PERSON_DAY,
         F.least("start_minute", "login_start_minute").alias("start_minute"),
         F.greatest("stop_minute", "login_stop_minute").alias("stop_minute"),
         F.least("first_break", "login_first_break").alias("first_break"),

@@ -63,6 +63,23 @@ def is_broadcastable(df: DataFrame) -> bool:
     return int(str(estimate)) <= threshold
 
 
+def attach_members(people: DataFrame, tables: Tables) -> DataFrame:
+    """Person-days with everything known about the employee.
+
+    Joins on the login as well, for an employee id that carries several.
+    """
+    master = master_data(tables.employees).withColumnsRenamed(
+        {"master_id": "known_id", "login": "known_login"}
+    )
+    named = people.join(
+        master,
+        (people["master_id"] == master["known_id"])
+        & people["login"].eqNullSafe(master["known_login"]),
+        "left",
+    )
+    return join_attributes(named, tables.employee_attributes)
+
+
 def has_small_roster(tables: Tables) -> bool:
     """Whether Spark would broadcast each table of employees."""
     return is_broadcastable(tables.employees) and is_broadcastable(tables.employee_attributes)

@@ -73,7 +73,9 @@ def _successors_by_slot(events: DataFrame) -> DataFrame:
     ordering: within each second, then across the seconds of a day.
     """
     copies = events.groupBy(*_EVENT).agg(F.count(F.lit(1)).alias("copies"))
-    last_event = F.max(F.struct("event_id", "event_type"))
+    # ``copies`` and ``last`` go through every branch below, although not every
+    # branch needs them: branches that read the same columns share one shuffle.
+    last_event = F.max(F.struct("event_id", "event_type", "copies"))
     instants = (
         copies.groupBy("employee_id", "day", "event_ts")
         .agg(last_event.alias("last"))
@@ -81,16 +83,17 @@ def _successors_by_slot(events: DataFrame) -> DataFrame:
     )
     slot = ["employee_id", "day", "slot"]
     within_slot = Window.partitionBy(*slot).orderBy("event_ts")
-    instants = instants.withColumn("next_in_slot", F.lead("event_ts").over(within_slot))
+    followed_in_slot = instants.withColumn("next_in_slot", F.lead("event_ts").over(within_slot))
 
     across_slots = Window.partitionBy("employee_id", "day").orderBy("slot")
+    first_of_slot = F.min(F.struct("event_ts", "last"))
     later = (
         instants.groupBy(*slot)
-        .agg(F.min("event_ts").alias("first_ts"))
-        .withColumn("next_slot_ts", F.lead("first_ts").over(across_slots))
-        .drop("first_ts")
+        .agg(first_of_slot.alias("first"))
+        .withColumn("next_slot_ts", F.lead("first.event_ts").over(across_slots))
+        .drop("first")
     )
-    last_events = left_join_null_safe(instants, later, slot).select(
+    last_events = left_join_null_safe(followed_in_slot, later, slot).select(
         "employee_id",
         "day",
         "event_ts",

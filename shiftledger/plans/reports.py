@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shiftledger.functions import checks
 from shiftledger.functions.clock import (
+    calendar_day,
     clock_to_minutes,
     duration_text,
     minutes_text,
@@ -17,16 +18,18 @@ from shiftledger.functions.clock import (
 )
 from shiftledger.functions.text import full_name
 from shiftledger.operators.activity import activity, event_intervals, work_intervals
+from shiftledger.operators.filters import has_flag, in_day_range, in_event_window, of_types
 from shiftledger.operators.labels import DETAIL_LABELS, SUMMARY_LABELS
 from shiftledger.operators.rollup import (
+    FACTS,
     MEMBER,
     employee_days,
-    merge_facts,
+    person_days,
     spread_login_facts_by_join,
     spread_login_facts_by_window,
     with_facts,
 )
-from shiftledger.operators.roster import enrich, has_small_roster
+from shiftledger.operators.roster import attach_members, enrich, has_small_roster
 from shiftledger.rules import DEFAULT_RULES, Rules
 from shiftledger.sources.tables import Tables
 
@@ -67,23 +70,18 @@ def detail_report(
     )
 
 
-def members(
+def people(
     tables: Tables,
     from_day: date | str,
     to_day: date | str,
     as_of: datetime | str | None = None,
     rules: Rules = DEFAULT_RULES,
-    small_roster: bool | None = None,
     **split,
 ) -> DataFrame:
-    """Distinct employee attributes per day, with the facts of those employees.
+    """Facts of each person-day.
 
-    The activity is reduced to employee-days before any join.  A repeated row
-    changes neither distinct rows nor the facts, so the joins that could only
-    repeat rows are left out.
+    The activity is reduced to employee-days before any join.
     """
-    if small_roster is None:
-        small_roster = has_small_roster(tables)
     worked = with_facts(
         work_intervals(tables.work_records, from_day, to_day, rules), rules.break_type
     )
@@ -91,19 +89,31 @@ def members(
         tables.clock_events, from_day, to_day, as_of or datetime.now(), rules, **split
     )
     days = worked.unionByName(employee_days(intervals, rules.break_type))
-    named = enrich(days, tables, small_roster, row_exact=False)
-    return merge_facts(named.withColumn("full_name", _full_name()), MEMBER)
+    return person_days(days, tables.employees)
 
 
 def employee_day_rows(
-    tables: Tables,
-    from_day: date | str,
-    to_day: date | str,
-    rules: Rules = DEFAULT_RULES,
-    **split,
+    tables: Tables, from_day: date | str, to_day: date | str, rules: Rules = DEFAULT_RULES
 ) -> DataFrame:
-    """The distinct attribute rows alone."""
-    return members(tables, from_day, to_day, rules=rules, **split).select(*MEMBER)
+    """Distinct employee attributes per day.
+
+    Which days an employee has does not depend on where intervals end, so no
+    window is needed; a repeated row does not matter either, so the joins that
+    could only repeat rows are left out.
+    """
+    worked = in_day_range(tables.work_records, "start_ts", from_day, to_day).filter(
+        has_flag(F.col("flags"), rules.work_flag)
+    )
+    clocked = in_event_window(tables.clock_events, from_day, to_day, rules.event_cutoff).filter(
+        of_types(F.col("event_type"), rules.listed_types)
+    )
+    days = (
+        worked.select("employee_id", calendar_day(F.col("start_ts")).alias("day"))
+        .union(clocked.select("employee_id", calendar_day(F.col("event_ts")).alias("day")))
+        .distinct()
+    )
+    named = enrich(days, tables, has_small_roster(tables), row_exact=False)
+    return named.withColumn("full_name", _full_name()).select(*MEMBER).distinct()
 
 
 def summary_report(
@@ -117,13 +127,22 @@ def summary_report(
 ) -> DataFrame:
     """One row per distinct employee attributes and day, graded.
 
-    Employees who share a login share start, stop and first break.
-    ``small_roster`` overrides the size check of the employee tables.
+    Employees who share a login share start, stop and first break.  Attributes
+    are attached last; the distinct then needs no shuffle of its own if Spark
+    broadcasts them.  A repeated row changes neither distinct rows nor facts, so
+    the joins that could only repeat rows are left out.  ``small_roster``
+    overrides the size check of the employee tables.
     """
     if small_roster is None:
         small_roster = has_small_roster(tables)
-    everyone = members(tables, from_day, to_day, as_of, rules, small_roster, **split)
     spread = spread_login_facts_by_window if small_roster else spread_login_facts_by_join
+    everyone = spread(people(tables, from_day, to_day, as_of, rules, **split))
+    members = (
+        attach_members(everyone, tables)
+        .withColumn("full_name", _full_name())
+        .select(*MEMBER, *FACTS)
+        .distinct()
+    )
 
     start, stop, first = F.col("start_minute"), F.col("stop_minute"), F.col("first_break")
     worked = worked_minutes(start, stop)
@@ -143,6 +162,6 @@ def summary_report(
         **graded,
         "verdict": checks.verdict(*graded.values()),
     }
-    return spread(everyone).select(
+    return members.select(
         *[computed.get(name, F.col(name)).alias(name) for name in SUMMARY_LABELS]
     )

@@ -291,3 +291,25 @@ def test_a_repeated_hour_is_read_as_standard_time(spark):
         tables, night, night, f"{night} 07:00:00", Rules(zone="Europe/Warsaw")
     ).collect()
     assert {r["action"]: r["duration_hm"] for r in rows} == {1: "3:30", 2: "4:30"}
+
+
+@pytest.mark.parametrize("small_roster", [True, False])
+def test_employee_with_several_master_rows(spark, small_roster):
+    people = [person(1, "a"), person(1, "a", "C", "C"), person(1, "b"), person(2, "b")]
+    attributes = [(1, bibi, "X", "F", "HC", "P") for bibi in ("B1", "B2")]
+    works = [work(1, "05:30", "14:00"), work(2, "07:00", "16:00")]
+    tables = make_tables(spark, works, [], people, attributes)
+    rows = summary_report(tables, DAY, DAY, AS_OF, small_roster=small_roster).collect()
+    found = sorted(
+        (r["login"], r["full_name"], r["bibi"] or "", r["start_hm"], r["stop_hm"]) for r in rows
+    )
+    assert found == [
+        ("a", "A A", "B1", "05:30", "14:00"),
+        ("a", "A A", "B2", "05:30", "14:00"),
+        ("a", "C C", "B1", "05:30", "14:00"),
+        ("a", "C C", "B2", "05:30", "14:00"),
+        ("b", "A A", "", "05:30", "16:00"),
+        ("b", "A A", "B1", "05:30", "16:00"),
+        ("b", "A A", "B2", "05:30", "16:00"),
+    ]
+    assert detail_report(tables, DAY, DAY, AS_OF).count() == 7

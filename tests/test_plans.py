@@ -6,7 +6,7 @@ from catalog.queries import AS_OF, FROM_DAY, TO_DAY
 from shiftledger import detail_report, summary_report
 from shiftledger.operators.filters import in_event_window
 from shiftledger.operators.successors import BUCKETS, hot_limit, next_event, successors
-from shiftledger.plans.reports import members
+from shiftledger.plans.reports import employee_day_rows
 from shiftledger.sources.sample import sample_tables
 from tests.build import event, make_tables, person, ts
 
@@ -49,12 +49,21 @@ def test_detail_shuffles_each_fact_table_once(tables):
     assert "SortMergeJoin" not in plan
 
 
-def test_summary_reduces_events_before_the_joins(tables):
-    plan = initial_plan(members(tables, *PERIOD))
-    # work days, events, members
-    assert plan.count("Exchange hashpartitioning") == 3
+def test_summary_shuffles_narrow_rows(tables):
+    plan = initial_plan(summary_report(tables, *PERIOD))
+    # work days, events, person-days, login-days; none for the distinct
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 4
+    # attributes are attached after the last shuffle
+    first_shuffle = next(n for n, line in enumerate(plan.splitlines()) if line in exchanges)
+    above = "\n".join(plan.splitlines()[:first_shuffle])
+    assert above.count("BroadcastHashJoin") == 2
     # departments and positions add nothing to distinct rows
-    assert plan.count("BroadcastHashJoin") == 2
+    assert plan.count("BroadcastHashJoin") == 3
+
+
+def test_employee_days_need_no_window(tables):
+    assert "Window" not in initial_plan(employee_day_rows(tables, FROM_DAY, TO_DAY))
 
 
 def test_no_python_in_any_plan(tables):
@@ -62,7 +71,7 @@ def test_no_python_in_any_plan(tables):
         assert "Python" not in initial_plan(report(tables, *PERIOD))
 
 
-def test_large_roster_shuffles_members_once(tables):
+def test_large_roster_reads_the_facts_once(tables):
     plan = final_plan(summary_report(tables, *PERIOD, small_roster=False))
     assert "ReusedExchange" in plan
     assert plan.count("FileScan parquet [l_orderkey") == 1
@@ -128,3 +137,11 @@ def test_only_hot_events_are_split(tables):
     plan = initial_plan(successors(events, hot_rows=3, hot_ratio=0))
     assert "LeftAnti" in plan and "LeftSemi" in plan
     assert "Union" in plan
+
+
+def test_split_events_are_read_once(tables):
+    events = in_event_window(tables.clock_events, FROM_DAY, TO_DAY, "22:59:59")
+    plan = final_plan(next_event(events, hot_rows=3, hot_ratio=0))
+    # the bucket count, the ordinary events, the hot events
+    assert plan.count("FileScan parquet") == 3
+    assert plan.count("ReusedExchange") == 3
