@@ -30,7 +30,7 @@ from shiftledger.plans.reports import (
     summary_report,
 )
 from shiftledger.rules import DEFAULT_RULES, Rules
-from shiftledger.sources.sample import sample_tables
+from shiftledger.sources.sample import SampleTables
 from shiftledger.sources.tables import Tables, decimals_as_double
 
 FROM_DAY = "2024-01-01"
@@ -39,7 +39,7 @@ AS_OF = "2024-02-01 12:34:56"
 PERIOD = (FROM_DAY, TO_DAY)
 REPORT = (FROM_DAY, TO_DAY, AS_OF)
 #: Sends every event through the split of overfull groups.
-ALL_HOT = {"hot_rows": 0, "hot_ratio": 0}
+ALL_HOT = {"split_hot": True, "hot_rows": 0, "hot_ratio": 0}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -247,7 +247,7 @@ _ON_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
 
 
 def _on_sample(query: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: query(sample_tables(spark, sf_dir))
+    return lambda spark, sf_dir: query(SampleTables(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {name: _on_sample(query) for name, query in _ON_TABLES.items()}

@@ -56,13 +56,6 @@ def join_positions(df: DataFrame, positions: DataFrame) -> DataFrame:
     return df.join(keys, df["position_id"] == keys["position_key"], "left").drop("position_key")
 
 
-def is_broadcastable(df: DataFrame) -> bool:
-    """Whether Spark's size estimate of ``df`` is within its broadcast threshold."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(estimate)) <= threshold
-
-
 def attach_members(people: DataFrame, tables: Tables) -> DataFrame:
     """Person-days with everything known about the employee.
 
@@ -80,11 +73,6 @@ def attach_members(people: DataFrame, tables: Tables) -> DataFrame:
     return join_attributes(named, tables.employee_attributes)
 
 
-def has_small_roster(tables: Tables) -> bool:
-    """Whether Spark would broadcast each table of employees."""
-    return is_broadcastable(tables.employees) and is_broadcastable(tables.employee_attributes)
-
-
 def _attach(df: DataFrame, tables: Tables, row_exact: bool) -> DataFrame:
     df = join_attributes(df, tables.employee_attributes)
     if row_exact:

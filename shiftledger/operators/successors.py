@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from shiftledger.functions.clock import calendar_day, second_of_day
 from shiftledger.operators.joins import left_join_null_safe
+from shiftledger.operators.sizes import is_broadcastable
 
 BUCKETS = 65_536
 #: A bucket is overfull above this many rows ...
@@ -123,7 +124,7 @@ def _successors_by_slot(events: DataFrame) -> DataFrame:
 
 def successors(
     events: DataFrame,
-    split_hot: bool = True,
+    split_hot: bool | None = None,
     hot_rows: int = HOT_ROWS,
     hot_ratio: float = HOT_RATIO,
 ) -> DataFrame:
@@ -132,10 +133,12 @@ def successors(
     ``next_ts`` is null for the last event of an employee-day.  ``is_copy``
     marks a row whose event equals the one before it in every column.  Copies
     between the first and the last may be left out; they repeat the first.
-    ``split_hot=False`` skips the count, for data known to have no overfull
-    employee-day.
+    ``split_hot`` says whether to count.  By default, events that Spark would
+    broadcast are not counted, as they fit one task together.
     """
     dated = events.withColumn("day", calendar_day(F.col("event_ts"))).select(*_EVENT)
+    if split_hot is None:
+        split_hot = not is_broadcastable(events)
     limit = hot_limit(dated, hot_rows, hot_ratio) if split_hot else None
     if limit is None:
         return _successors_by_window(dated)

@@ -29,7 +29,8 @@ from shiftledger.operators.rollup import (
     spread_login_facts_by_window,
     with_facts,
 )
-from shiftledger.operators.roster import attach_members, enrich, has_small_roster
+from shiftledger.operators.roster import attach_members, enrich
+from shiftledger.operators.sizes import has_small_roster
 from shiftledger.rules import DEFAULT_RULES, Rules
 from shiftledger.sources.tables import Tables
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.sources.tables import Tables, conform
+from shiftledger.sources.tables import conform
 
 #: event kind -> event type; 5 is a type that only ends intervals
 EVENT_TYPES = {"signup": 1, "view": 2, "click": 3, "purchase": 4, "error": 5}
 
-
 #: Columns read, with their types: given, not inferred, so that a read costs no job.
 COLUMNS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
@@ -22,68 +23,87 @@ COLUMNS = {
 }
 
 
-def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    def read(name: str):
-        return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
+class SampleTables:
+    """Stands in for ``Tables``; each table is set up when first used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark = spark
+        self._sf_dir = sf_dir
+
+    def _read(self, name: str) -> DataFrame:
+        return self._spark.read.schema(COLUMNS[name]).parquet(f"{self._sf_dir}/{name}.parquet")
 
-    start = F.expr(
-        "timestamp_ntz '2024-01-01 05:00:00'"
-        " + make_dt_interval(cast(l_orderkey % 30 as int), 0, cast(l_partkey % 240 as int), 0)"
-    )
-    work_records = (
-        read("lineitem")
-        .withColumn("start_ts", start)
-        .select(
+    @cached_property
+    def work_records(self) -> DataFrame:
+        start = F.expr(
+            "timestamp_ntz '2024-01-01 05:00:00' + make_dt_interval("
+            "cast(l_orderkey % 30 as int), 0, cast(l_partkey % 240 as int), 0)"
+        )
+        length = F.expr("make_dt_interval(0, 0, cast(round(l_quantity * 10) as int), 0)")
+        records = self._read("lineitem").select(
             (F.col("l_partkey") % 150).alias("employee_id"),
-            "start_ts",
-            (
-                F.col("start_ts")
-                + F.expr("make_dt_interval(0, 0, cast(round(l_quantity * 10) as int), 0)")
-            ).alias("stop_ts"),
+            start.alias("start_ts"),
+            (start + length).alias("stop_ts"),
             (F.col("l_quantity") / 6.0).alias("hours"),
             F.round(F.col("l_discount") * 1000).alias("engagement"),
             F.col("l_linenumber").alias("flags"),
         )
-    )
-    event_type = F.coalesce(
-        *[F.when(F.col("event_type") == kind, code) for kind, code in EVENT_TYPES.items()]
-    )
-    clock_events = read("events").select(
-        "event_id",
-        F.col("ts").alias("event_ts"),
-        event_type.alias("event_type"),
-        F.col("user_id").alias("employee_id"),
-    )
-    # All customers are employees.  Those with a negated id never clock in, so
-    # their positive ids are the unknown employees of the activity.
-    key = F.col("c_custkey")
-    employees = read("customer").select(
-        F.when(key % 10 == 9, -key).otherwise(key).alias("employee_id"),
-        F.concat(
-            F.lit("login"), F.when(key % 20 == 1, key - 1).otherwise(key).cast("string")
-        ).alias("login"),
-        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
-        F.when(key % 50 != 48, F.split_part("c_name", F.lit("#"), F.lit(2))).alias("last_name"),
-        (key % 3 + 1).alias("shift_id"),
-        F.col("c_nationkey").alias("department_id"),
-        (F.col("c_nationkey") % 5).alias("position_id"),
-    )
-    attributes = read("customer").select(
-        F.when(key % 7 == 3, -key).otherwise(key).alias("employee_id"),
-        F.concat(F.lit("B"), (key % 4).cast("string")).alias("bibi"),
-        F.col("c_mktsegment").alias("department"),
-        F.concat(F.lit("F"), F.col("c_nationkey").cast("string")).alias("job_function"),
-        F.when(key % 2 == 0, "HC").otherwise("AGENCY").alias("hc_or_agency"),
-        F.concat(F.lit("P"), (key % 5).cast("string")).alias("position"),
-    )
-    departments = read("nation").select(F.col("n_nationkey").alias("department_id"))
-    positions = read("region").select(F.col("r_regionkey").alias("position_id"))
-    frames = {
-        "work_records": work_records,
-        "clock_events": clock_events,
-        "employees": employees,
-        "departments": departments,
-        "employee_attributes": attributes,
-        "positions": positions,
-    }
-    return Tables(**{name: conform(df, name) for name, df in frames.items()})
+        return conform(records, "work_records")
+
+    @cached_property
+    def clock_events(self) -> DataFrame:
+        event_type = F.coalesce(
+            *[F.when(F.col("event_type") == kind, code) for kind, code in EVENT_TYPES.items()]
+        )
+        events = self._read("events").select(
+            "event_id",
+            F.col("ts").alias("event_ts"),
+            event_type.alias("event_type"),
+            F.col("user_id").alias("employee_id"),
+        )
+        return conform(events, "clock_events")
+
+    @cached_property
+    def employees(self) -> DataFrame:
+        """All customers.
+
+        Those with a negated id never clock in, so their positive ids are the
+        unknown employees of the activity.
+        """
+        key = F.col("c_custkey")
+        shared = F.when(key % 20 == 1, key - 1).otherwise(key)
+        last_name = F.split_part("c_name", F.lit("#"), F.lit(2))
+        employees = self._read("customer").select(
+            F.when(key % 10 == 9, -key).otherwise(key).alias("employee_id"),
+            F.concat(F.lit("login"), shared.cast("string")).alias("login"),
+            F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
+            F.when(key % 50 != 48, last_name).alias("last_name"),
+            (key % 3 + 1).alias("shift_id"),
+            F.col("c_nationkey").alias("department_id"),
+            (F.col("c_nationkey") % 5).alias("position_id"),
+        )
+        return conform(employees, "employees")
+
+    @cached_property
+    def employee_attributes(self) -> DataFrame:
+        """All customers; a negated id leaves an employee without attributes."""
+        key = F.col("c_custkey")
+        attributes = self._read("customer").select(
+            F.when(key % 7 == 3, -key).otherwise(key).alias("employee_id"),
+            F.concat(F.lit("B"), (key % 4).cast("string")).alias("bibi"),
+            F.col("c_mktsegment").alias("department"),
+            F.concat(F.lit("F"), F.col("c_nationkey").cast("string")).alias("job_function"),
+            F.when(key % 2 == 0, "HC").otherwise("AGENCY").alias("hc_or_agency"),
+            F.concat(F.lit("P"), (key % 5).cast("string")).alias("position"),
+        )
+        return conform(attributes, "employee_attributes")
+
+    @cached_property
+    def departments(self) -> DataFrame:
+        keys = self._read("nation").select(F.col("n_nationkey").alias("department_id"))
+        return conform(keys, "departments")
+
+    @cached_property
+    def positions(self) -> DataFrame:
+        keys = self._read("region").select(F.col("r_regionkey").alias("position_id"))
+        return conform(keys, "positions")

@@ -15,9 +15,9 @@ AS_OF = datetime(2024, 1, 9, 12, 34, 56)
 DAYS = [date(2024, 1, 5), date(2024, 1, 6), date(2024, 1, 7)]
 SPLITS = {
     "window": {"split_hot": False},
-    "checked": {},
-    "all hot": {"hot_rows": 0, "hot_ratio": 0},
-    "some hot": {"hot_rows": 25, "hot_ratio": 0},
+    "checked": {"split_hot": True},
+    "all hot": {"split_hot": True, "hot_rows": 0, "hot_ratio": 0},
+    "some hot": {"split_hot": True, "hot_rows": 25, "hot_ratio": 0},
 }
 
 

@@ -7,7 +7,7 @@ from shiftledger import detail_report, summary_report
 from shiftledger.operators.filters import in_event_window
 from shiftledger.operators.successors import BUCKETS, hot_limit, next_event, successors
 from shiftledger.plans.reports import employee_day_rows
-from shiftledger.sources.sample import sample_tables
+from shiftledger.sources.sample import SampleTables
 from tests.build import event, make_tables, person, ts
 
 PERIOD = (FROM_DAY, TO_DAY, AS_OF)
@@ -15,7 +15,7 @@ PERIOD = (FROM_DAY, TO_DAY, AS_OF)
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    return sample_tables(spark, "/root/testdata/sf0.001")
+    return SampleTables(spark, "/root/testdata/sf0.001")
 
 
 def initial_plan(df):
@@ -110,9 +110,8 @@ def test_adaptive_execution_splits_a_hot_employee(spark):
         },
     )
     try:
-        report = detail_report(
-            tables, "2024-01-05", "2024-01-05", ts("21:00"), hot_rows=1000, hot_ratio=0
-        )
+        split = {"split_hot": True, "hot_rows": 1000, "hot_ratio": 0}
+        report = detail_report(tables, "2024-01-05", "2024-01-05", ts("21:00"), **split)
         plan = final_plan(report)
         assert "skew=true" in plan
         assert report.count() == len(events)
@@ -131,17 +130,28 @@ def test_hot_check(tables):
     assert hot_limit(events.limit(0), 0, 0) is None
 
 
+def test_small_events_are_not_counted(spark, tables):
+    """The check is a job of its own; a table within the broadcast threshold needs none."""
+    events = in_event_window(tables.clock_events, FROM_DAY, TO_DAY, "22:59:59")
+    assert "Union" not in initial_plan(successors(events, hot_rows=0, hot_ratio=0))
+    before = conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "1KB"})
+    try:
+        assert "Union" in initial_plan(successors(events, hot_rows=0, hot_ratio=0))
+    finally:
+        conf(spark, before)
+
+
 def test_only_hot_events_are_split(tables):
     """Ordinary events keep the one-shuffle window beside the split."""
     events = in_event_window(tables.clock_events, FROM_DAY, TO_DAY, "22:59:59")
-    plan = initial_plan(successors(events, hot_rows=3, hot_ratio=0))
+    plan = initial_plan(successors(events, split_hot=True, hot_rows=3, hot_ratio=0))
     assert "LeftAnti" in plan and "LeftSemi" in plan
     assert "Union" in plan
 
 
 def test_split_events_are_read_once(tables):
     events = in_event_window(tables.clock_events, FROM_DAY, TO_DAY, "22:59:59")
-    plan = final_plan(next_event(events, hot_rows=3, hot_ratio=0))
+    plan = final_plan(next_event(events, split_hot=True, hot_rows=3, hot_ratio=0))
     # the bucket count, the ordinary events, the hot events
     assert plan.count("FileScan parquet") == 3
     assert plan.count("ReusedExchange") == 3
