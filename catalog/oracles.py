@@ -374,7 +374,8 @@ ORACLES: dict[str, str] = {
     ),
     "facet_filter_multi": _on(
         _SUMMARY,
-        "SELECT * FROM summary WHERE department = 'MACHINERY' AND verdict = '✔️' AND shift_id = 2",
+        "SELECT * FROM summary "
+        "WHERE department = 'MACHINERY' AND verdict = '✔️' AND shift_id = 2",
     ),
     "table_search": _on(
         _SUMMARY,
@@ -390,4 +391,9 @@ ORACLES: dict[str, str] = {
         f"SELECT * FROM summary ORDER BY lower(coalesce(login, '')), {_ALL_FIRST} "
         "LIMIT 25 OFFSET 50",
     ),
+    "table_page_deep": _on(
+        _SUMMARY,
+        f"SELECT * FROM summary ORDER BY lower(coalesce(login, '')) DESC, {_ALL_FIRST} "
+        "LIMIT 300 OFFSET 900",
+    ),
 }

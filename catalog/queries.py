@@ -243,6 +243,9 @@ _ON_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "table_search": lambda t: _browse(browse.table_search, t, 'agency "poniżej 8h" b1'),
     "table_sort": lambda t: _browse(browse.table_sort, t, "full_name", ascending=False),
     "table_page": lambda t: _browse(browse.table_page, t, page=3, size=25),
+    "table_page_deep": lambda t: _browse(
+        browse.table_page, t, page=4, size=300, ascending=False, deep_rows=0
+    ),
 }
 
 

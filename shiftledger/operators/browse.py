@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftledger.functions.text import display_text
+from shiftledger.session import ensure_checkpoint_dir
+
+#: Pages that end beyond this many rows are not taken by top-k.
+DEEP_ROWS = 100_000
 
 
 def _cell(name: str) -> Column:
@@ -79,8 +83,47 @@ def table_page(
     size: int = 10,
     column: str | None = None,
     ascending: bool = True,
+    deep_rows: int = DEEP_ROWS,
 ) -> DataFrame:
-    """One page of the sorted table; each task keeps only ``page * size`` rows."""
+    """One page of the sorted table.
+
+    A page within the first ``deep_rows`` rows is a top-k: each task keeps only
+    the rows up to the end of the page.  Further pages go by ``_rows_between``.
+    """
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
-    return table_sort(df, column, ascending).offset((page - 1) * size).limit(size)
+    ordered = table_sort(df, column, ascending)
+    first, end = (page - 1) * size, page * size
+    if end <= deep_rows:
+        return ordered.offset(first).limit(size)
+    return _rows_between(ordered, first, end)
+
+
+def _rows_between(ordered: DataFrame, first: int, end: int) -> DataFrame:
+    """Rows ``first`` (counted from 0) to before ``end`` of a sorted table.
+
+    The sorted table is checkpointed, which fixes its partitions; their sizes,
+    one number each, then tell which rows of which partition are asked for.  No
+    task or driver holds the rows before the page.
+    """
+    ensure_checkpoint_dir(ordered.sparkSession)
+    part, row = "__part", "__row"
+    placed = (
+        ordered.checkpoint()
+        .withColumn(part, F.spark_partition_id())
+        # the id is the partition shifted by 33 bits plus the row in it
+        .withColumn(
+            row,
+            F.monotonically_increasing_id() - F.shiftleft(F.col(part).cast("long"), 33),
+        )
+    )
+    wanted = F.lit(False)
+    before = 0
+    for number, rows in sorted(placed.groupBy(part).count().collect()):
+        low, high = max(first - before, 0), min(end - before, rows)
+        if low < high:
+            wanted = wanted | (
+                (F.col(part) == number) & (F.col(row) >= low) & (F.col(row) < high)
+            )
+        before += rows
+    return placed.filter(wanted).drop(part, row)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -10,9 +12,23 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Checkpoint to the folder the cluster names; a local session may make its own."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="shiftledger-")
+    context.setCheckpointDir(folder)
+
+
 def local_session(cores: int | str, memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks.  On a cluster, use your own."""
     builder = (

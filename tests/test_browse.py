@@ -57,6 +57,23 @@ def test_pages(table):
         table_page(table, 0)
 
 
+@pytest.mark.parametrize("ascending", [True, False])
+def test_deep_pages_equal_top_k_pages(spark, ascending):
+    df = spark.range(1000, numPartitions=7).selectExpr("cast(id % 13 as string) a", "id b")
+    pages = []
+    for page in (1, 2, 5, 9, 10, 11):
+        top = table_page(df, page, 120, "a", ascending).collect()
+        deep = table_page(df, page, 120, "a", ascending, deep_rows=0).collect()
+        assert deep == top
+        pages.append(len(top))
+    assert pages == [120, 120, 120, 40, 0, 0]
+
+
+def test_deep_page_plan_has_no_limit(spark, table):
+    plan = table_page(table, 1, 3, deep_rows=0)._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and "TakeOrdered" not in plan
+
+
 def test_sort(table):
     assert logins(table_sort(table, "department")) == ["d", "a", "b", "c"]
     assert logins(table_sort(table, "department", ascending=False)) == ["c", "a", "b", "d"]
