@@ -244,9 +244,10 @@ def _summary_columns(*columns: str) -> str:
 
 _ROW_TEXT = " || '  ' || ".join(_cell(name) for name, _ in _SUMMARY_COLUMNS)
 _ALL_FIRST = ", ".join(f"{name} NULLS FIRST" for name, _ in _SUMMARY_COLUMNS)
+# Event hours are compared exactly; sums are rounded, as engines add in another order.
 _ROUNDED_ACTIVITY = (
-    "search_key, employee_id, round(hours, 6) AS hours, round(effective_hours, 6) AS "
-    "effective_hours, start_ts, stop_ts, day, action, source, event_id"
+    "search_key, employee_id, CASE WHEN source = 0 THEN round(hours, 6) ELSE hours END AS hours, "
+    "round(effective_hours, 6) AS effective_hours, start_ts, stop_ts, day, action, source, event_id"
 )
 _NEXT_EVENT = _on(
     _ACTIVITY, "SELECT employee_id, day, event_ts, event_id, event_type, next_ts FROM followed"
@@ -302,9 +303,7 @@ ORACLES: dict[str, str] = {
     ),
     "next_event": _NEXT_EVENT,
     "next_event_split": _NEXT_EVENT,
-    "event_hours": _on(
-        _ACTIVITY, "SELECT event_id, round(hours, 6) AS hours FROM activity WHERE source = 1"
-    ),
+    "event_hours": _on(_ACTIVITY, "SELECT event_id, hours FROM activity WHERE source = 1"),
     "event_intervals": _EVENT_INTERVALS,
     "event_intervals_split": _EVENT_INTERVALS,
     "activity_union": _on(_ACTIVITY, f"SELECT {_ROUNDED_ACTIVITY} FROM activity"),

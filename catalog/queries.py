@@ -17,7 +17,7 @@ from shiftledger.functions.clock import (
 )
 from shiftledger.functions.text import full_name
 from shiftledger.operators import browse, filters, roster
-from shiftledger.operators.activity import activity, event_intervals, open_end
+from shiftledger.operators.activity import WORK_SOURCE, activity, event_intervals, open_end
 from shiftledger.operators.labels import DETAIL_LABELS, SUMMARY_LABELS, labeled
 from shiftledger.operators.rollup import login_days
 from shiftledger.operators.successors import next_event
@@ -60,6 +60,14 @@ def _activity(t: Tables) -> DataFrame:
     return activity(t, *REPORT)
 
 
+def _activity_union(t: Tables) -> DataFrame:
+    """Sums depend on the order of addition and are rounded; event hours are exact."""
+    summed = F.when(F.col("source") == WORK_SOURCE, F.round("hours", 6))
+    return _rounded(_activity(t), "effective_hours").withColumn(
+        "hours", summed.otherwise(F.col("hours"))
+    )
+
+
 def _with_employees(t: Tables) -> DataFrame:
     return roster.join_employees(_activity(t), roster.master_data(t.employees))
 
@@ -165,11 +173,11 @@ _ON_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     # events
     "next_event": lambda t: next_event(_event_window(t)),
     "next_event_split": lambda t: next_event(_event_window(t), **ALL_HOT),
-    "event_hours": lambda t: _rounded(_intervals(t), "hours").select("event_id", "hours"),
-    "event_intervals": lambda t: _rounded(_intervals(t), "hours"),
-    "event_intervals_split": lambda t: _rounded(_intervals(t, **ALL_HOT), "hours"),
+    "event_hours": lambda t: _intervals(t).select("event_id", "hours"),
+    "event_intervals": _intervals,
+    "event_intervals_split": lambda t: _intervals(t, **ALL_HOT),
     # union
-    "activity_union": lambda t: _rounded(_activity(t), "hours", "effective_hours"),
+    "activity_union": _activity_union,
     # column functions
     "fn_to_date": lambda t: t.clock_events.select(
         "event_id", calendar_day(F.col("event_ts")).alias("day")

@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MINUTES_PER_DAY = 24 * 60
+MICROSECONDS_PER_HOUR = 3.6e9
 
 
 def as_day(value: date | str) -> date:
@@ -112,10 +113,9 @@ def duration_text(start: Column, stop: Column, zone: str | None = None) -> Colum
 
 
 def duration_hours(start: Column, stop: Column, zone: str | None = None) -> Column:
-    """``stop - start`` in hours, with microseconds."""
-    span = elapsed(start, stop, zone)
-    seconds = span.cast("interval second").cast("decimal(18,6)").cast("double")
-    return seconds / 3600
+    """``stop - start`` in hours, rounded once, from whole microseconds."""
+    seconds = elapsed(start, stop, zone).cast("interval second").cast("decimal(18,6)")
+    return (seconds * 1_000_000).cast("long") / MICROSECONDS_PER_HOUR
 
 
 def worked_minutes(start_minute: Column, stop_minute: Column) -> Column:

@@ -313,3 +313,11 @@ def test_employee_with_several_master_rows(spark, small_roster):
         ("b", "A A", "B2", "05:30", "16:00"),
     ]
     assert detail_report(tables, DAY, DAY, AS_OF).count() == 7
+
+
+def test_event_hours_are_rounded_once(spark):
+    """Through seconds as a double, this one would come out as 1.8127624999999998."""
+    events = [event(1, 1, 1, "06:00"), event(1, 2, 2, "07:48:45.945")]
+    tables = make_tables(spark, [], events)
+    rows = event_intervals(tables.clock_events, DAY, DAY, f"{DAY} 10:00:00").collect()
+    assert {row["event_id"]: row["hours"] for row in rows}[1] == 1.8127625
