@@ -12,6 +12,7 @@ from shiftledger.operators.browse import (
     table_sort,
 )
 from shiftledger.operators.widths import column_widths
+from shiftledger.session import ensure_checkpoint_dir
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +89,30 @@ def test_column_widths(spark):
     assert widths == {"Login": 9, "Data": 6, "Podsumowanie ": 15}
     empty = {r["column_name"]: r["width"] for r in column_widths(df.limit(0)).collect()}
     assert empty == {"Login": 7, "Data": 6, "Podsumowanie ": 15}
+
+
+def test_checkpoint_folder(tmp_path):
+    """The cluster's folder is used; without one, only a local session makes its own."""
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.folder = master, None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        def __init__(self, master, settings):
+            self.sparkContext, self.conf = Context(master), settings
+
+    cluster = Session("yarn", {"spark.checkpoint.dir": "hdfs://shared/checkpoints"})
+    ensure_checkpoint_dir(cluster)
+    assert cluster.sparkContext.folder == "hdfs://shared/checkpoints"
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session("yarn", {}))
+    local = Session("local[2]", {})
+    ensure_checkpoint_dir(local)
+    assert local.sparkContext.folder is not None
