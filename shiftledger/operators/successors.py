@@ -40,15 +40,13 @@ def _bucket() -> Column:
     return F.pmod(F.xxhash64("employee_id", "day"), F.lit(BUCKETS)).cast("int")
 
 
-def _bucket_counts(events: DataFrame) -> DataFrame:
-    return events.groupBy(_bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
-
-
-def hot_limit(events: DataFrame, hot_rows: int, hot_ratio: float) -> float | None:
-    """Row limit of a bucket, or None if no bucket exceeds it."""
-    largest, total = _bucket_counts(events).agg(F.max("rows"), F.sum("rows")).first()
-    limit = max(hot_rows, hot_ratio * (total or 0) / BUCKETS)
-    return limit if (largest or 0) > limit else None
+def hot_buckets(events: DataFrame, hot_rows: int, hot_ratio: float) -> list[int]:
+    """Overfull buckets; the driver gets one row with at most ``BUCKETS`` of them."""
+    counts = events.groupBy(_bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
+    large = F.when(F.col("rows") > hot_rows, F.struct("bucket", "rows"))
+    total, candidates = counts.agg(F.sum("rows"), F.collect_list(large)).first()
+    limit = hot_ratio * (total or 0) / BUCKETS
+    return [bucket for bucket, rows in candidates if rows > limit]
 
 
 def _successors_by_window(events: DataFrame) -> DataFrame:
@@ -139,10 +137,10 @@ def successors(
     dated = events.withColumn("day", calendar_day(F.col("event_ts"))).select(*_EVENT)
     if split_hot is None:
         split_hot = not is_broadcastable(events)
-    limit = hot_limit(dated, hot_rows, hot_ratio) if split_hot else None
-    if limit is None:
+    buckets = hot_buckets(dated, hot_rows, hot_ratio) if split_hot else []
+    if not buckets:
         return _successors_by_window(dated)
-    hot = _bucket_counts(dated).filter(F.col("rows") > limit).select("bucket")
+    hot = events.sparkSession.createDataFrame([(bucket,) for bucket in buckets], "bucket int")
     keyed = dated.withColumn("bucket", _bucket())
     ordinary = keyed.join(F.broadcast(hot), "bucket", "left_anti").drop("bucket")
     overfull = keyed.join(F.broadcast(hot), "bucket", "left_semi").drop("bucket")
