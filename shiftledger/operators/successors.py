@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,8 +106,12 @@ def _successors_by_slot(events: DataFrame) -> DataFrame:
     # Both sides are unique on the whole event, so this join has no hot key.
     joined = left_join_null_safe(copies, last_events, _EVENT)
 
+    # The event type passes through the explode, so that a later filter on it
+    # stays above and ``copies`` is the same on both sides of the join.
     def successor(next_ts: Column, is_copy: bool) -> Column:
-        return F.struct(next_ts.alias("next_ts"), F.lit(is_copy).alias("is_copy"))
+        return F.struct(
+            next_ts.alias("next_ts"), F.lit(is_copy).alias("is_copy"), F.col("event_type")
+        )
 
     here = F.col("event_ts")
     repeated = F.array(successor(here, False), successor(F.col("later_ts"), True))
@@ -115,8 +120,9 @@ def _successors_by_slot(events: DataFrame) -> DataFrame:
         .when(F.col("is_last"), F.array(successor(F.col("later_ts"), False)))
         .otherwise(F.array(successor(here, False)))
     )
-    return joined.select(*_EVENT, F.explode(followed).alias("successor")).select(
-        *_EVENT, "successor.next_ts", "successor.is_copy"
+    kept = _EVENT[:-1]
+    return joined.select(*kept, F.explode(followed).alias("successor")).select(
+        *kept, "successor.event_type", "successor.next_ts", "successor.is_copy"
     )
 
 
@@ -140,7 +146,8 @@ def successors(
     buckets = hot_buckets(dated, hot_rows, hot_ratio) if split_hot else []
     if not buckets:
         return _successors_by_window(dated)
-    hot = events.sparkSession.createDataFrame([(bucket,) for bucket in buckets], "bucket int")
+    # an Arrow table becomes a local relation; a list would start Python workers
+    hot = events.sparkSession.createDataFrame(pa.table({"bucket": pa.array(buckets, pa.int32())}))
     keyed = dated.withColumn("bucket", _bucket())
     ordinary = keyed.join(F.broadcast(hot), "bucket", "left_anti").drop("bucket")
     overfull = keyed.join(F.broadcast(hot), "bucket", "left_semi").drop("bucket")

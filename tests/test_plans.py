@@ -4,6 +4,7 @@ import pytest
 
 from catalog.queries import AS_OF, FROM_DAY, TO_DAY
 from shiftledger import detail_report, summary_report
+from shiftledger.operators.activity import event_intervals
 from shiftledger.operators.filters import in_event_window
 from shiftledger.operators.successors import BUCKETS, hot_buckets, next_event, successors
 from shiftledger.plans.reports import employee_day_rows
@@ -155,7 +156,11 @@ def test_only_hot_events_are_split(tables):
 
 def test_split_events_are_read_once(tables):
     events = in_event_window(tables.clock_events, FROM_DAY, TO_DAY, "22:59:59")
-    plan = final_plan(next_event(events, split_hot=True, hot_rows=3, hot_ratio=0))
-    # the ordinary events, the hot events
-    assert plan.count("FileScan parquet") == 2
-    assert plan.count("Exchange hashpartitioning") > plan.count("ReusedExchange") >= 2
+    split = {"split_hot": True, "hot_rows": 3, "hot_ratio": 0}
+    intervals = event_intervals(tables.clock_events, *PERIOD, **split)
+    for df in (next_event(events, **split), intervals):
+        plan = final_plan(df)
+        # the ordinary events, the hot events; the buckets are a local relation
+        assert plan.count("FileScan parquet") == 2
+        assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+        assert plan.count("ReusedExchange") >= 2
