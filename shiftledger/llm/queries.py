@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.llm import mixing, simhash, token_ids, warc
+from shiftledger.llm import mixing, neighbours, simhash, token_ids, toxicity, warc
 
 #: Where the tokenizer of the token-id query lies; None: the file the package names.
 TOKENIZER: str | None = None
@@ -35,12 +35,40 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     hexadecimal = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
 
 
+#: Words that tell two kinds of toxic text apart, as weak labels.
+INSULTS = ["idiot", "moron", "loser", "clown", "stupid", "scum"]
+CONTEMPT = ["worthless", "disgusting", "pathetic", "trash"]
+
+
+def toxicity_chain(documents: DataFrame, labels: DataFrame) -> toxicity.Chain:
+    """Insult and contempt first, from labels and words; then the label itself."""
+    toxic = F.col("toxic") == 1
+
+    def says(words: list[str]) -> Column:
+        return F.regexp_like(F.lower("text"), F.lit(rf"\b({'|'.join(words)})\b"))
+
+    categories = {"insult": toxic & says(INSULTS), "contempt": toxic & says(CONTEMPT), "toxic": toxic}
+    return toxicity.fit_chain(documents, labels.select("doc_id", "toxic"), categories)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    chain = toxicity_chain(documents, _table(spark, sf_dir, "labels"))
+    rejected = F.col("toxic") >= toxicity.THRESHOLD
+    return toxicity.scores(documents, chain).withColumn("rejected", rejected)
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.encoded_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -53,7 +81,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op3_hilbert": op3_hilbert,
     "op6_simhash": op6_simhash,
+    "op7_toxicity": op7_toxicity,
     "op9_token_ids": op9_token_ids,
     "op10_mixing": op10_mixing,
 }

@@ -23,6 +23,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,43 +37,69 @@ END_ID = 2
 #: Ids in a shard, about.
 SHARD_IDS = 1 << 21
 #: Rounds of pair replacement, pairs replaced in one, and how often a pair occurs at least.
-ROUNDS = 6
+ROUNDS = 4
 RULES = 2048
 MIN_COUNT = 32
-#: Words whose ids a worker remembers.
-CACHED_WORDS = 300_000
+#: Words in each of the two generations that a worker remembers.
+CACHED_WORDS = 700_000
 MAGIC = b"RPR1"
-_BUCKETS = 1 << 20
+_BUCKETS = 1 << 18
+_SHIFT = np.uint32(14)
 
 _MANIFEST = "shard string, part int, base long, ids long"
 
 
-class WordIds(dict):
-    """Ids of white-space separated words as little-endian bytes, encoded when first seen.
+class WordIds:
+    """Ids of white-space separated words as little-endian bytes, each word encoded once.
 
-    For tokenizers that never join characters across white space.
+    For tokenizers that never join characters across white space, ignore case
+    and keep a full stop or comma apart from letters before it.  Two
+    generations of words are remembered, so that frequent ones stay.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self._tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self._tokenizer.encode(word, add_special_tokens=False).ids
-        found = np.array(ids, "<u4").tobytes()
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = found
-        return found
-
-    def encode(self, text: str) -> bytes:
-        # str.split() also splits at these four, which are no white space to a tokenizer
-        words = _SPACE.split(text) if _SEPARATORS.search(text) else text.split()
-        return b"".join(map(self.__getitem__, words))
-
-
+        self.tokenizer = Tokenizer.from_file(path)
+        self._now: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self._now) >= CACHED_WORDS:
+            self._before, self._now = self._now, {}
+        missing = words.difference(self._now)
+        for word in missing.intersection(self._before):
+            self._now[word] = self._before[word]
+            missing.discard(word)
+        plain = {word: _PLAIN.fullmatch(word) for word in missing}
+        stems = {m[1].lower() if m else word for word, m in plain.items()}
+        stems = [w for w in stems.union(".,") if w not in self._now]
+        for stem, found in zip(
+            stems, self.tokenizer.encode_batch_fast(stems, add_special_tokens=False), strict=True
+        ):
+            self._now[stem] = np.array(found.ids, "<u4").tobytes()
+        for word, m in plain.items():
+            if m:
+                self._now[word] = self._now[m[1].lower()] + (self._now[m[2]] if m[2] else b"")
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), 64):
+            # str.split() also splits at the separators, which are no white space to a tokenizer
+            split = [
+                _SPACE.split(t) if _SEPARATORS.search(t) else t.split() for t in texts[at : at + 64]
+            ]
+            self._learn(set().union(*split))
+            yield from (b"".join(map(self._now.__getitem__, words)) for words in split)
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    """One per worker process, kept from task to task."""
+    return WordIds(path)
+
+
+#: ASCII letters, then perhaps one mark that is a token of its own.
+_PLAIN = re.compile("([A-Za-z]+)([.,]?)")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 
@@ -82,7 +109,7 @@ def compress(
     rounds: int = ROUNDS, rules: int = RULES, min_count: int = MIN_COUNT,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (pairs; the n-th defines symbol ``first + n``), their expansion lengths."""
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.uint32)
     found = np.empty((0, 2), np.int64)
     lengths = np.empty(0, np.int64)
     for _ in range(rounds):
@@ -90,49 +117,56 @@ def compress(
             break
         left, right = symbols[:-1], symbols[1:]
         # a count per hash bucket is never below that of a pair in it, so light buckets are skipped
-        bucket = ((left * 0x9E3779B1 + right * 0x85EBCA77) >> 7) & (_BUCKETS - 1)
+        bucket = (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> _SHIFT
         heavy = np.bincount(bucket, minlength=_BUCKETS)
-        level = max(min_count, int(np.partition(heavy, -2 * rules)[-2 * rules]))
+        level = max(min_count, int(np.partition(heavy, -rules)[-rules]))
         may = (heavy >= level)[bucket] & (left != end_id) & (right != end_id)
         at = np.flatnonzero(may)
         if not len(at):
             break
-        codes = (left[at] << 32) | right[at]
-        pairs, counts = np.unique(codes, return_counts=True)
+        codes = (left[at].astype(np.int64) << 32) | right[at]
+        pairs, code, counts = np.unique(codes, return_inverse=True, return_counts=True)
         best = np.argsort(-counts, kind="stable")[:rules]
-        pairs = np.sort(pairs[best[counts[best] >= min_count]])
-        if not len(pairs):
+        chosen = np.zeros(len(pairs), bool)
+        chosen[best[counts[best] >= min_count]] = True
+        at = at[chosen[code]]
+        code = code[chosen[code]]
+        if not len(at):
             break
-        slot = np.minimum(np.searchsorted(pairs, codes), len(pairs) - 1)
-        hit = pairs[slot] == codes
-        at, slot = at[hit], slot[hit]
         # in a run of overlapping pairs, every second one from its start
         begins = np.diff(at, prepend=-2) > 1
         order = np.arange(len(at))
         taken = (order - np.maximum.accumulate(np.where(begins, order, 0))) % 2 == 0
-        at, slot = at[taken], slot[taken]
-        used, slot = np.unique(slot, return_inverse=True)
+        at, code = at[taken], code[taken]
+        used, slot = np.unique(code, return_inverse=True)
         made = np.stack([pairs[used] >> 32, pairs[used] & 0xFFFFFFFF], axis=1)
         both = np.concatenate([np.ones(first, np.int64), lengths])[made].sum(axis=1)
-        symbols = symbols.copy()
         symbols[at] = first + len(found) + slot
-        symbols = np.delete(symbols, at + 1)
+        kept = np.ones(len(symbols), bool)
+        kept[at + 1] = False
+        symbols = symbols[kept]
         found, lengths = np.concatenate([found, made]), np.concatenate([lengths, both])
     return symbols, found, lengths
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """Ids of ``symbols``; as many steps as rules are nested."""
-    symbols = symbols.astype(np.int64)
-    while len(inner := np.flatnonzero(symbols >= first)):
-        pairs = rules[symbols[inner] - first]
-        width = np.ones(len(symbols), np.int64)
-        width[inner] = 2
-        start = np.cumsum(width) - width
-        out = np.repeat(symbols, width)
-        out[start[inner]], out[start[inner] + 1] = pairs[:, 0], pairs[:, 1]
-        symbols = out
-    return symbols
+class Grammar:
+    """Expands symbols to ids.  The expansions of all rules lie in one array."""
+
+    def __init__(self, rules: np.ndarray, lengths: np.ndarray, first: int) -> None:
+        self.widths = np.concatenate([np.ones(first, np.int64), lengths])
+        self._starts = np.concatenate([np.arange(first), first + np.cumsum(lengths) - lengths])
+        self._ids = np.concatenate([np.arange(first), np.empty(int(lengths.sum()), np.int64)]).astype("<u4")
+        starts, widths, ids = self._starts.tolist(), self.widths.tolist(), self._ids
+        for n, (left, right) in enumerate(rules.tolist(), first):
+            at, middle = starts[n], starts[n] + widths[left]
+            ids[at:middle] = ids[starts[left] : starts[left] + widths[left]]
+            ids[middle : at + widths[n]] = ids[starts[right] : starts[right] + widths[right]]
+
+    def expand(self, symbols: np.ndarray) -> np.ndarray:
+        widths = self.widths[symbols]
+        ends = np.cumsum(widths)
+        shift = self._starts[symbols] - (ends - widths)
+        return self._ids[np.repeat(shift, widths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def pack(doc_ids: list[int | None], texts: list[bytes], first: int, end_id: int) -> bytes:
@@ -174,8 +208,7 @@ class Shard:
             array = np.frombuffer(data, kind, length, at)
             at += array.nbytes
             setattr(self, name, array)
-        self.rules = self.rules.reshape(-1, 2).astype(np.int64)
-        self._widths = np.concatenate([np.ones(self.first, np.int64), self.lengths])
+        self.grammar = Grammar(self.rules.reshape(-1, 2), self.lengths.astype(np.int64), self.first)
 
     def __len__(self) -> int:
         return len(self.doc_ids)
@@ -186,7 +219,7 @@ class Shard:
     def document(self, n: int) -> np.ndarray:
         """Ids of the n-th document, end id included."""
         low, high = self.symbol_starts[n], self.symbol_starts[n + 1]
-        return expand(self.symbols[low:high], self.rules, self.first)
+        return self.grammar.expand(self.symbols[low:high])
 
     def ids(self, start: int, stop: int) -> np.ndarray:
         """Ids ``start`` to before ``stop`` of the shard; expands only the symbols they touch."""
@@ -194,11 +227,11 @@ class Shard:
         low = int(self.symbol_starts[n])
         last = int(np.searchsorted(self.id_starts, stop, "left"))
         high = int(self.symbol_starts[min(last, len(self))])
-        ends = self.id_starts[n] + np.cumsum(self._widths[self.symbols[low:high]])
+        ends = self.id_starts[n] + np.cumsum(self.grammar.widths[self.symbols[low:high]])
         a = int(np.searchsorted(ends, start, "right"))
         b = int(np.searchsorted(ends, stop, "left")) + 1
         skipped = start - (int(ends[a - 1]) if a else int(self.id_starts[n]))
-        found = expand(self.symbols[low + a : low + b], self.rules, self.first)
+        found = self.grammar.expand(self.symbols[low + a : low + b])
         return found[skipped : skipped + stop - start]
 
 
@@ -220,8 +253,8 @@ def write_shards(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words = WordIds(tokenizer)
-        first = words._tokenizer.get_vocab_size()
+        words = word_ids(tokenizer)
+        first = words.tokenizer.get_vocab_size()
         part = TaskContext.get().partitionId()
         keys: list[int | None] = []
         texts: list[bytes] = []
@@ -236,8 +269,8 @@ def write_shards(
             return pa.RecordBatch.from_arrays(arrays, names=["shard", "part", "base", "ids"])
 
         for batch in batches:
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                encoded = words.encode(value.as_py())
+            encodings = words.encode(batch.column(1).to_pylist())
+            for key, encoded in zip(batch.column(0).to_pylist(), encodings, strict=True):
                 if held and held + len(encoded) // 4 + 1 > shard_ids:
                     yield flush()
                     keys, texts, base, held, number = [], [], base + held, 0, number + 1
@@ -273,7 +306,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 with files.input_stream(row["shard"]) as raw:
                     shard = Shard(raw.read())
-                ids = expand(shard.symbols, shard.rules, shard.first).astype("<u4")
+                ids = shard.grammar.expand(shard.symbols)
                 view = memoryview(ids.tobytes())
                 at = shard.id_starts.tolist()
                 spans = list(zip(at, at[1:], strict=False))
