@@ -6,6 +6,7 @@ import atexit
 import re
 import shutil
 import tempfile
+from collections.abc import Callable
 from uuid import uuid4
 
 import pyarrow as pa
@@ -43,6 +44,11 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, even if ``use`` repeats it for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def small_frame(spark: SparkSession, columns: dict[str, pa.Array]) -> DataFrame:
     """A frame of a few rows held by the driver, without Python workers."""
     return spark.createDataFrame(pa.table(columns))

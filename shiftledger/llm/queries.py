@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.llm import mixing, neighbours, simhash, token_ids, toxicity, warc
+from shiftledger.llm import decontaminate, mixing, neighbours, simhash, surrogates, token_ids, toxicity, warc
 
 #: Where the tokenizer of the token-id query lies; None: the file the package names.
 TOKENIZER: str | None = None
@@ -40,6 +40,21 @@ def op3_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 50 == 0)
 
 
+#: The key of the surrogates; a production run sets its own.
+SURROGATE_KEY = "change-me"
+
+
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replaced(documents, SURROGATE_KEY)[0]
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     hexadecimal = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -82,6 +97,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_hilbert": op3_hilbert,
+    "op4_surrogates": op4_surrogates,
+    "op5_decontaminate": op5_decontaminate,
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
     "op9_token_ids": op9_token_ids,
