@@ -22,6 +22,30 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM payloads JOIN firsts USING (hex)
+""",
+    "op2_debruijn": """
+WITH split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS words FROM documents
+), places AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS pos FROM split WHERE len(words) >= 35
+), keyed AS (
+  SELECT doc_id, pos, sha256(array_to_string(words[pos:pos + 34], ' ')) AS content FROM places
+), counted AS (
+  SELECT doc_id, pos, count(*) OVER (PARTITION BY content) AS n FROM keyed
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 35)) AS pos FROM counted WHERE n > 1
+), listed AS (
+  SELECT doc_id, list(pos) AS removed FROM gone GROUP BY doc_id
+), exploded AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM split
+), kept AS (
+  SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.pos) AS kept
+  FROM exploded e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.pos = g.pos
+  WHERE g.pos IS NULL GROUP BY e.doc_id
+)
+SELECT s.doc_id, len(words)::BIGINT AS n_words, coalesce(len(removed), 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM split s LEFT JOIN listed l ON s.doc_id = l.doc_id LEFT JOIN kept k ON s.doc_id = k.doc_id
 """,
     "op10_mixing": f"""
 WITH sized AS (

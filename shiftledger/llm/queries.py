@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.llm import decontaminate, mixing, neighbours, simhash, surrogates, token_ids, toxicity, warc
+from shiftledger.llm import debruijn, decontaminate, mixing, neighbours, simhash, surrogates, token_ids, toxicity, warc
 
 #: Where the tokenizer of the token-id query lies; None: the file the package names.
 TOKENIZER: str | None = None
@@ -35,6 +35,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 50 == 0)
@@ -96,6 +100,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_debruijn": op2_debruijn,
     "op3_hilbert": op3_hilbert,
     "op4_surrogates": op4_surrogates,
     "op5_decontaminate": op5_decontaminate,
