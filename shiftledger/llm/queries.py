@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.llm import debruijn, decontaminate, mixing, neighbours, simhash, surrogates, token_ids, toxicity, warc
+from shiftledger.llm import debruijn, decontaminate, mixing, neighbours, simhash, suffixes, surrogates, token_ids, toxicity, warc
 
 #: Where the tokenizer of the token-id query lies; None: the file the package names.
 TOKENIZER: str | None = None
@@ -88,6 +88,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(documents, chain).withColumn("rejected", rejected)
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_earlier(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.encoded_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
+    "op8_suffixes": op8_suffixes,
     "op9_token_ids": op9_token_ids,
     "op10_mixing": op10_mixing,
 }
