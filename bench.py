@@ -21,6 +21,10 @@ HEADLINE = [
     "facet_filter_multi",
     "table_search",
     "table_page",
+    # the paths built for scale: the split of hot employee-days, the join of a large roster
+    "event_intervals_split",
+    "summary_report_split",
+    "summary_report_large_roster",
 ]
 RUNS = 3
 

@@ -47,6 +47,41 @@ employee_attributes AS (
 ),
 positions AS (SELECT CAST(r_regionkey AS INTEGER) AS position_id FROM region)"""
 
+#: The sample with repeats and gaps: its tables are made from those above.
+_HARD_TABLES = (
+    _TABLES.replace("work_records AS (", "plain_work AS (")
+    .replace("clock_events AS (", "plain_events AS (")
+    .replace("\ndepartments AS (", "\nplain_departments AS (")
+    .replace("positions AS (", "plain_positions AS (")
+    + """,
+work_records AS (
+    SELECT * REPLACE (
+        CASE WHEN extract('minute' FROM start_ts) % 3 <> 0 THEN stop_ts END AS stop_ts,
+        CASE WHEN extract('minute' FROM start_ts) % 7 <> 0 THEN employee_id END AS employee_id)
+    FROM plain_work
+),
+changed_events AS (
+    SELECT * REPLACE (
+        CASE WHEN event_id % 13 <> 0 THEN employee_id % 40 END AS employee_id,
+        CASE WHEN event_id % 5 = 0 THEN CAST(event_ts AS DATE) + INTERVAL '12 hours'
+             ELSE event_ts END AS event_ts)
+    FROM plain_events
+),
+clock_events AS (
+    SELECT * FROM changed_events
+    UNION ALL SELECT * FROM changed_events WHERE event_id % 7 = 0
+    UNION ALL SELECT * FROM changed_events WHERE event_id % 35 = 0
+),
+departments AS (
+    SELECT * FROM plain_departments
+    UNION ALL SELECT * FROM plain_departments WHERE department_id % 2 = 0
+),
+positions AS (
+    SELECT * FROM plain_positions
+    UNION ALL SELECT * FROM plain_positions WHERE position_id % 2 = 0
+)"""
+)
+
 _ACTIVITY = f"""{_TABLES},
 work_days AS (
     SELECT employee_id,
@@ -64,14 +99,21 @@ event_window AS (
     SELECT *, CAST(event_ts AS DATE) AS day
     FROM clock_events
     WHERE CAST(event_ts AS DATE) BETWEEN DATE '{FROM_DAY}' AND DATE '{TO_DAY}'
-      AND event_ts <= CAST(CAST(event_ts AS DATE) AS TIMESTAMP)
-                      + INTERVAL '22 hours 59 minutes 59 seconds'
+      AND CAST(event_ts AS TIME) <= TIME '22:59:59'
 ),
-followed AS (
-    SELECT *, lag(event_ts) OVER (PARTITION BY employee_id, day
-                                  ORDER BY event_ts DESC, event_id DESC) AS next_ts
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY employee_id, day
+                                 ORDER BY event_ts, event_id, event_type) AS place
     FROM event_window
 ),
+followed AS (
+    -- the event one place further on, of the same employee and day
+    SELECT n.*, later.event_ts AS next_ts
+    FROM numbered n
+    LEFT JOIN numbered later
+      ON later.employee_id IS NOT DISTINCT FROM n.employee_id
+     AND later.day = n.day AND later.place = n.place + 1
+),
 activity AS (
     SELECT CAST(employee_id AS VARCHAR) || CAST(day AS VARCHAR) AS search_key,
            employee_id, hours, effective_hours, start_ts, stop_ts, day,
@@ -395,4 +437,27 @@ ORACLES: dict[str, str] = {
         f"SELECT * FROM summary ORDER BY lower(coalesce(login, '')) DESC, {_ALL_FIRST} "
         "LIMIT 300 OFFSET 900",
     ),
+    "facet_filter_stored": _on(
+        _SUMMARY,
+        "SELECT * FROM summary WHERE lower(coalesce(department, '')) = 'machinery' "
+        "AND day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
+    ),
+}
+
+
+def _hard(query: str) -> str:
+    """The same query on the sample with repeats and gaps."""
+    return query.replace(_TABLES.strip(), _HARD_TABLES.strip())
+
+
+_HARD_NEXT = _hard(_NEXT_EVENT.replace("SELECT employee_id, day, event_ts", "SELECT DISTINCT employee_id, day, event_ts"))
+ORACLES |= {
+    "next_event_repeats": _HARD_NEXT,
+    "next_event_repeats_split": _HARD_NEXT,
+    "work_day_open_records": _hard(ORACLES["work_day_span"]),
+    "activity_union_repeats": _hard(ORACLES["activity_union"]),
+    "detail_report_repeated_keys": _hard(_DETAIL_REPORT),
+    "detail_report_from_facts": _hard(_DETAIL_REPORT),
+    "summary_report_open_records": _hard(_SUMMARY_REPORT),
+    "summary_report_from_facts": _hard(_SUMMARY_REPORT),
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,9 @@ from shiftledger.plans.reports import (
     summary_report,
 )
 from shiftledger.rules import DEFAULT_RULES, Rules
-from shiftledger.sources.sample import SampleTables
+from shiftledger.session import scratch_folder
+from shiftledger.sources.sample import HardSampleTables, SampleTables
+from shiftledger.sources.sinks import read_report, write_days
 from shiftledger.sources.tables import Tables, decimals_as_double
 
 FROM_DAY = "2024-01-01"
@@ -39,7 +42,7 @@ AS_OF = "2024-02-01 12:34:56"
 PERIOD = (FROM_DAY, TO_DAY)
 REPORT = (FROM_DAY, TO_DAY, AS_OF)
 #: Sends every event through the split of overfull groups.
-ALL_HOT = {"split_hot": True, "hot_rows": 0, "hot_ratio": 0}
+ALL_HOT = {"hot_rows": 0}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,15 +254,47 @@ _ON_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "table_search": lambda t: _browse(browse.table_search, t, 'agency "poniżej 8h" b1'),
     "table_sort": lambda t: _browse(browse.table_sort, t, "full_name", ascending=False),
     "table_page": lambda t: _browse(browse.table_page, t, page=3, size=25),
-    "table_page_deep": lambda t: _browse(
-        browse.table_page, t, page=4, size=300, ascending=False, deep_rows=0
+}
+
+#: On the sample with repeats and gaps.
+_ON_HARD_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
+    "next_event_repeats": lambda t: next_event(_event_window(t)),
+    "next_event_repeats_split": lambda t: next_event(_event_window(t), **ALL_HOT),
+    "work_day_open_records": lambda t: work_days(t.work_records, *PERIOD).select(
+        "employee_id", "day", "start_ts", "stop_ts"
     ),
+    "activity_union_repeats": _activity_union,
+    "detail_report_repeated_keys": _detail_rows,
+    "detail_report_from_facts": lambda t: detail_report(t, *REPORT, facts=_activity(t)),
+    "summary_report_open_records": lambda t: summary_report(t, *REPORT),
+    "summary_report_from_facts": lambda t: summary_report(t, *REPORT, facts=_activity(t)),
 }
 
 
-def _on_sample(query: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: query(SampleTables(spark, sf_dir))
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{scratch_folder(spark)}/{name}-{uuid4().hex}"
+
+
+def _table_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = summary_report(SampleTables(spark, sf_dir), *REPORT)
+    path = _scratch(spark, "sorted")
+    return browse.store_sorted(report, path, ascending=False).page(page=4, size=300)
+
+
+def _facet_filter_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = labeled(summary_report(SampleTables(spark, sf_dir), *REPORT), SUMMARY_LABELS)
+    path = _scratch(spark, "summary")
+    write_days(report, path, period=PERIOD)
+    stored = read_report(spark, path, SUMMARY_LABELS, "2024-01-05", "2024-01-20")
+    return browse.facet_filter(stored, {"department": "machinery"})
+
+
+def _on_sample(query: Callable[[Tables], DataFrame], sample=SampleTables) -> Query:
+    return lambda spark, sf_dir: query(sample(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {name: _on_sample(query) for name, query in _ON_TABLES.items()}
+QUERIES |= {name: _on_sample(query, HardSampleTables) for name, query in _ON_HARD_TABLES.items()}
+QUERIES["table_page_deep"] = _table_page_deep
+QUERIES["facet_filter_stored"] = _facet_filter_stored
 QUERIES["decimal_to_double"] = _decimals

@@ -1,7 +1,7 @@
 """Dates, times of day and durations as native column expressions.
 
 Every timestamp here is ``timestamp_ntz`` (wall clock), so no result depends on
-``spark.sql.session.timeZone``.  ``date_format``, ``date_trunc`` and
+``spark.sql.session.timeZone``; the readers convert instants or refuse them.  ``date_format``, ``date_trunc`` and
 ``timestampdiff`` are avoided for that reason: they cast a wall-clock timestamp
 to an instant in the session zone first.
 """
@@ -30,6 +30,8 @@ def day_literal(value: date | str) -> Column:
 
 def timestamp_literal(value: datetime | str) -> Column:
     moment = value if isinstance(value, datetime) else datetime.fromisoformat(value)
+    if moment.tzinfo is not None:
+        raise ValueError(f"expected a wall-clock time without an offset, got {value}")
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 

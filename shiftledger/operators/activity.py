@@ -97,6 +97,7 @@ def activity(
     Each branch is distinct by itself and ``source`` keeps them apart, so the
     union needs no distinct of its own and unused columns can be pruned.
     """
+    split.setdefault("split_hot", tables.count_events)
     return work_intervals(tables.work_records, from_day, to_day, rules).unionByName(
         event_intervals(tables.clock_events, from_day, to_day, as_of, rules, **split)
     )

@@ -6,17 +6,18 @@ Text matches ignore case; a null cell reads as the empty text.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftledger.functions.text import display_text
-from shiftledger.session import ensure_checkpoint_dir
 
 #: Pages that end beyond this many rows are not taken by top-k.
-DEEP_ROWS = 100_000
+TOP_ROWS = 1_000
+_PART, _ROW = "__part", "__row"
 
 
 def _cell(name: str) -> Column:
@@ -83,47 +84,70 @@ def table_page(
     size: int = 10,
     column: str | None = None,
     ascending: bool = True,
-    deep_rows: int = DEEP_ROWS,
 ) -> DataFrame:
-    """One page of the sorted table.
+    """One page of the sorted table, within its first ``TOP_ROWS`` rows.
 
-    A page within the first ``deep_rows`` rows is a top-k: each task keeps only
-    the rows up to the end of the page.  Further pages go by ``_rows_between``.
+    A top-k: each task keeps the rows up to the end of the page.  For further
+    pages, sort the table once with ``store_sorted``.  Runs no job by itself.
     """
+    first, end = _bounds(page, size)
+    if end > TOP_ROWS:
+        raise ValueError(f"pages beyond {TOP_ROWS} rows are read from a sorted copy: store_sorted")
+    return table_sort(df, column, ascending).offset(first).limit(size)
+
+
+def _bounds(page: int, size: int) -> tuple[int, int]:
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
-    ordered = table_sort(df, column, ascending)
-    first, end = (page - 1) * size, page * size
-    if end <= deep_rows:
-        return ordered.offset(first).limit(size)
-    return _rows_between(ordered, first, end)
+    return (page - 1) * size, page * size
+
+
+@dataclass(frozen=True)
+class SortedTable:
+    """A stored copy in order, with the rows before each of its parts."""
 
+    rows: DataFrame
+    starts: list[tuple[int, int, int]]
 
-def _rows_between(ordered: DataFrame, first: int, end: int) -> DataFrame:
-    """Rows ``first`` (counted from 0) to before ``end`` of a sorted table.
+    def page(self, page: int = 1, size: int = 10) -> DataFrame:
+        """One page, in order; reads the parts that hold it and runs no job by itself."""
+        first, end = _bounds(page, size)
+        wanted = F.lit(False)
+        for part, before, count in self.starts:
+            low, high = max(first - before, 0), min(end - before, count)
+            if low < high:
+                here = F.col(_PART) == part
+                wanted = wanted | (here & F.col(_ROW).between(low, high - 1))
+        return self.rows.filter(wanted).orderBy(_PART, _ROW).drop(_PART, _ROW)
 
-    The sorted table is checkpointed, which fixes its partitions; their sizes,
-    one number each, then tell which rows of which partition are asked for.  No
-    task or driver holds the rows before the page.
+
+def store_sorted(
+    df: DataFrame, path: str, column: str | None = None, ascending: bool = True
+) -> SortedTable:
+    """Sort ``df`` once into ``path``, which is the caller's to keep or remove.
+
+    Runs the sort, and a count with one row per part, which is stored beside.
     """
-    ensure_checkpoint_dir(ordered.sparkSession)
-    part, row = "__part", "__row"
-    placed = (
-        ordered.checkpoint()
-        .withColumn(part, F.spark_partition_id())
+    (
+        table_sort(df, column, ascending)
+        .withColumn(_PART, F.spark_partition_id())
         # the id is the partition shifted by 33 bits plus the row in it
         .withColumn(
-            row,
-            F.monotonically_increasing_id() - F.shiftleft(F.col(part).cast("long"), 33),
+            _ROW, F.monotonically_increasing_id() - F.shiftleft(F.col(_PART).cast("long"), 33)
         )
+        .write.mode("overwrite")
+        .parquet(f"{path}/rows")
     )
-    wanted = F.lit(False)
-    before = 0
-    for number, rows in sorted(placed.groupBy(part).count().collect()):
-        low, high = max(first - before, 0), min(end - before, rows)
-        if low < high:
-            wanted = wanted | (
-                (F.col(part) == number) & (F.col(row) >= low) & (F.col(row) < high)
-            )
+    spark = df.sparkSession
+    counts = spark.read.parquet(f"{path}/rows").groupBy(_PART).count()
+    counts.write.mode("overwrite").parquet(f"{path}/counts")
+    return open_sorted(spark, path)
+
+
+def open_sorted(spark: SparkSession, path: str) -> SortedTable:
+    """A copy that ``store_sorted`` made; reads one row per part."""
+    starts, before = [], 0
+    for part, rows in sorted(map(tuple, spark.read.parquet(f"{path}/counts").collect())):
+        starts.append((part, before, rows))
         before += rows
-    return placed.filter(wanted).drop(part, row)
+    return SortedTable(spark.read.parquet(f"{path}/rows"), starts)

@@ -14,6 +14,9 @@ from shiftledger.functions.clock import (
     time_interval,
 )
 
+#: What the readers call a partition column that equals the calendar day.
+PARTITION_DAY = "__partition_day"
+
 
 def in_day_range(
     df: DataFrame, ts: str, from_day: date | str, to_day: date | str
@@ -21,12 +24,14 @@ def in_day_range(
     """Rows whose calendar day is in the range, both ends included.
 
     Catalyst turns the day comparison into a timestamp range that reaches the
-    scan.  A ``day`` partition column of the input is restricted as well.
+    scan.  A partition column that the reader was told of is restricted as well;
+    rows without a value there are read.
     """
     low, high = day_literal(from_day), day_literal(to_day)
     kept = df.filter(calendar_day(F.col(ts)).between(low, high))
-    if "day" in df.columns:
-        kept = kept.filter(F.col("day").between(low, high))
+    if PARTITION_DAY in df.columns:
+        partition = F.col(PARTITION_DAY)
+        kept = kept.filter(partition.isNull() | partition.between(low, high)).drop(PARTITION_DAY)
     return kept
 
 

@@ -18,6 +18,9 @@ def is_broadcastable(df: DataFrame) -> bool:
     return int(str(estimate)) <= threshold
 
 
-def has_small_roster(tables: Tables) -> bool:
-    """Whether Spark would broadcast each table of employees."""
-    return is_broadcastable(tables.employees) and is_broadcastable(tables.employee_attributes)
+def has_small_roster(tables: Tables, row_exact: bool = False) -> bool:
+    """Whether Spark would broadcast each table of employees, and for ``row_exact`` the others too."""
+    used = [tables.employees, tables.employee_attributes]
+    if row_exact:
+        used += [tables.departments, tables.positions]
+    return all(map(is_broadcastable, used))

@@ -3,21 +3,21 @@
 ``next_event`` is a ``lead`` over (employee, day) ordered by time, event id and
 event type.  A window keeps one group in one task, which is wrong for an
 employee-day that holds a large share of all events (a shared badge, an event
-delivered over and over).  So the size of the groups is checked first: events
-are counted per hash bucket of (employee, day), which reads two columns and
-yields at most ``BUCKETS`` rows.
+delivered over and over).  So the groups are counted first: events per hash
+bucket of (employee, day), which reads two columns and yields at most
+``BUCKETS`` rows; then, within buckets above ``HOT_ROWS``, per employee-day.
 
-* No bucket is overfull: the window alone, one shuffle.
+* No employee-day is above ``HOT_ROWS``: the window alone, one shuffle.
 * Some are: their events take ``_successors_by_slot``, which never holds more in
   one group than the distinct microseconds of a second, or the seconds of a day.
-  The overfull buckets, ``BUCKETS`` rows at most, are broadcast to tell the
-  events apart; all other events still take the window.
+  All other events still take the window.
 
-Both ways give the same rows.
+The limit does not depend on the data, and both ways give the same rows.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 
 from shiftledger.functions.clock import calendar_day, second_of_day
 from shiftledger.operators.joins import left_join_null_safe
-from shiftledger.operators.sizes import is_broadcastable
+from shiftledger.session import ensure_checkpoint_dir
 
 BUCKETS = 65_536
-#: A bucket is overfull above this many rows ...
+#: Events of one employee-day that a window may hold.
 HOT_ROWS = 1_000_000
-#: ... if it also holds this many times the mean.
-HOT_RATIO = 4
+#: Hot employee-days are broadcast up to this many, and joined by Spark's choice beyond.
+BROADCAST_KEYS = 100_000
 
 _EVENT = ["employee_id", "day", "event_ts", "event_id", "event_type"]
 
@@ -41,13 +41,43 @@ def _bucket() -> Column:
     return F.pmod(F.xxhash64("employee_id", "day"), F.lit(BUCKETS)).cast("int")
 
 
-def hot_buckets(events: DataFrame, hot_rows: int, hot_ratio: float) -> list[int]:
-    """Overfull buckets; the driver gets one row with at most ``BUCKETS`` of them."""
-    counts = events.groupBy(_bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
-    large = F.when(F.col("rows") > hot_rows, F.struct("bucket", "rows"))
-    total, candidates = counts.agg(F.sum("rows"), F.collect_list(large)).first()
-    limit = hot_ratio * (total or 0) / BUCKETS
-    return [bucket for bucket, rows in candidates if rows > limit]
+@dataclass(frozen=True)
+class HotDays:
+    """Employee-days above the limit as a table, or None if there are none."""
+
+    keys: DataFrame | None
+
+
+def hot_buckets(dated: DataFrame, hot_rows: int) -> list[int]:
+    """Buckets above the limit; the driver gets one row with at most ``BUCKETS`` of them."""
+    counts = dated.groupBy(_bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.filter(F.col("rows") > hot_rows).agg(F.collect_list("bucket")).first()[0]
+
+
+def hot_days(events: DataFrame, hot_rows: int = HOT_ROWS) -> HotDays:
+    """Count, and find the employee-days above the limit.  Runs a job, and a second if a bucket is."""
+    dated = events.select("employee_id", calendar_day(F.col("event_ts")).alias("day"))
+    buckets = hot_buckets(dated, hot_rows)
+    if not buckets:
+        return HotDays(None)
+    spark = events.sparkSession
+    # an Arrow table becomes a local relation; a list would start Python workers
+    overfull = spark.createDataFrame(pa.table({"bucket": pa.array(buckets, pa.int32())}))
+    keys = (
+        dated.withColumn("bucket", _bucket())
+        .join(F.broadcast(overfull), "bucket", "left_semi")
+        .groupBy("employee_id", "day")
+        .count()
+        .filter(F.col("count") > hot_rows)
+        .select(F.col("employee_id").alias("hot_employee"), F.col("day").alias("hot_day"))
+    )
+    found = keys.limit(BROADCAST_KEYS + 1).toArrow()
+    if found.num_rows == 0:
+        return HotDays(None)
+    if found.num_rows <= BROADCAST_KEYS:
+        return HotDays(F.broadcast(spark.createDataFrame(found)))
+    ensure_checkpoint_dir(spark)
+    return HotDays(keys.checkpoint())
 
 
 def _successors_by_window(events: DataFrame) -> DataFrame:
@@ -128,29 +158,27 @@ def _successors_by_slot(events: DataFrame) -> DataFrame:
 
 def successors(
     events: DataFrame,
-    split_hot: bool | None = None,
+    split_hot: bool = True,
     hot_rows: int = HOT_ROWS,
-    hot_ratio: float = HOT_RATIO,
+    hot: HotDays | None = None,
 ) -> DataFrame:
     """Events with ``day``, ``next_ts`` and ``is_copy``.
 
     ``next_ts`` is null for the last event of an employee-day.  ``is_copy``
     marks a row whose event equals the one before it in every column.  Copies
     between the first and the last may be left out; they repeat the first.
-    ``split_hot`` says whether to count.  By default, events that Spark would
-    broadcast are not counted, as they fit one task together.
+    ``split_hot`` says whether to count; ``hot`` hands over an earlier count.
     """
     dated = events.withColumn("day", calendar_day(F.col("event_ts"))).select(*_EVENT)
-    if split_hot is None:
-        split_hot = not is_broadcastable(events)
-    buckets = hot_buckets(dated, hot_rows, hot_ratio) if split_hot else []
-    if not buckets:
+    if hot is None:
+        hot = hot_days(events, hot_rows) if split_hot else HotDays(None)
+    if hot.keys is None:
         return _successors_by_window(dated)
-    # an Arrow table becomes a local relation; a list would start Python workers
-    hot = events.sparkSession.createDataFrame(pa.table({"bucket": pa.array(buckets, pa.int32())}))
-    keyed = dated.withColumn("bucket", _bucket())
-    ordinary = keyed.join(F.broadcast(hot), "bucket", "left_anti").drop("bucket")
-    overfull = keyed.join(F.broadcast(hot), "bucket", "left_semi").drop("bucket")
+    same = F.col("employee_id").eqNullSafe(F.col("hot_employee")) & F.col("day").eqNullSafe(
+        F.col("hot_day")
+    )
+    ordinary = dated.join(hot.keys, same, "left_anti")
+    overfull = dated.join(hot.keys, same, "left_semi")
     return _successors_by_window(ordinary).unionByName(_successors_by_slot(overfull))
 
 

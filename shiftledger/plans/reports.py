@@ -45,20 +45,20 @@ def detail_report(
     to_day: date | str,
     as_of: datetime | str | None = None,
     rules: Rules = DEFAULT_RULES,
+    facts: DataFrame | None = None,
     **split,
 ) -> DataFrame:
     """Work days and event intervals with master data, one row each.
 
     ``as_of`` ends intervals without a next event (now, if not given); give it
-    for a repeatable report, and to both reports to have them agree.
+    for a repeatable report, and to both reports to have them agree.  ``facts``
+    hands over the activity, so that both reports read it once.
     """
-    rows = activity(tables, from_day, to_day, as_of or datetime.now(), rules, **split)
-    named = enrich(
-        rows,
-        tables,
-        small_roster=has_small_roster(tables),
-        row_exact=not rules.assume_unique_dimensions,
-    )
+    rows = facts
+    if rows is None:
+        rows = activity(tables, from_day, to_day, as_of or datetime.now(), rules, **split)
+    row_exact = not rules.assume_unique_dimensions
+    named = enrich(rows, tables, has_small_roster(tables, row_exact), row_exact)
     start, stop = F.col("start_ts"), F.col("stop_ts")
     computed = {
         "full_name": _full_name(),
@@ -77,12 +77,16 @@ def people(
     to_day: date | str,
     as_of: datetime | str | None = None,
     rules: Rules = DEFAULT_RULES,
+    facts: DataFrame | None = None,
     **split,
 ) -> DataFrame:
     """Facts of each person-day.
 
     The activity is reduced to employee-days before any join.
     """
+    if facts is not None:
+        return person_days(employee_days(facts, rules.break_type), tables.employees)
+    split.setdefault("split_hot", tables.count_events)
     worked = with_facts(
         work_intervals(tables.work_records, from_day, to_day, rules), rules.break_type
     )
@@ -124,6 +128,7 @@ def summary_report(
     as_of: datetime | str | None = None,
     rules: Rules = DEFAULT_RULES,
     small_roster: bool | None = None,
+    facts: DataFrame | None = None,
     **split,
 ) -> DataFrame:
     """One row per distinct employee attributes and day, graded.
@@ -132,12 +137,13 @@ def summary_report(
     are attached last; the distinct then needs no shuffle of its own if Spark
     broadcasts them.  A repeated row changes neither distinct rows nor facts, so
     the joins that could only repeat rows are left out.  ``small_roster``
-    overrides the size check of the employee tables.
+    overrides the size check of the employee tables; ``facts`` hands over the
+    activity, as for the detail.
     """
     if small_roster is None:
         small_roster = has_small_roster(tables)
     spread = spread_login_facts_by_window if small_roster else spread_login_facts_by_join
-    everyone = spread(people(tables, from_day, to_day, as_of, rules, **split))
+    everyone = spread(people(tables, from_day, to_day, as_of, rules, facts, **split))
     members = (
         attach_members(everyone, tables)
         .withColumn("full_name", _full_name())

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -12,21 +15,30 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Checkpoint to the folder the cluster names; a local session may make its own."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for intermediate data.
+
+    Only a session of one machine without that setting makes its own, which is
+    removed when Python ends.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="shiftledger-")
-    context.setCheckpointDir(folder)
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Checkpoint to the folder the cluster names; a session of one machine may make its own."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_folder(spark))
 
 
 def local_session(cores: int | str, memory: str = "8g") -> SparkSession:

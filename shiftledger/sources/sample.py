@@ -26,6 +26,8 @@ COLUMNS = {
 class SampleTables:
     """Stands in for ``Tables``; each table is set up when first used."""
 
+    count_events = True
+
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self._spark = spark
         self._sf_dir = sf_dir
@@ -107,3 +109,45 @@ class SampleTables:
     def positions(self) -> DataFrame:
         keys = self._read("region").select(F.col("r_regionkey").alias("position_id"))
         return conform(keys, "positions")
+
+
+class HardSampleTables(SampleTables):
+    """The same data with what the reports must bear: repeated events, equal
+    times, records without an end or an employee, repeated dimension keys."""
+
+    @cached_property
+    def work_records(self) -> DataFrame:
+        records = super().work_records
+        minute = F.minute("start_ts")
+        return records.withColumns(
+            {
+                "stop_ts": F.when(minute % 3 != 0, F.col("stop_ts")),
+                "employee_id": F.when(minute % 7 != 0, F.col("employee_id")),
+            }
+        )
+
+    @cached_property
+    def clock_events(self) -> DataFrame:
+        number = F.col("event_id")
+        day = F.col("event_ts").cast("date").cast("timestamp_ntz")
+        events = super().clock_events.withColumns(
+            {
+                "employee_id": F.when(number % 13 != 0, F.col("employee_id") % 40),
+                "event_ts": F.when(number % 5 == 0, day + F.expr("INTERVAL '12' HOUR")).otherwise(
+                    F.col("event_ts")
+                ),
+            }
+        )
+        return events.unionByName(events.filter(number % 7 == 0)).unionByName(
+            events.filter(number % 35 == 0)
+        )
+
+    @cached_property
+    def departments(self) -> DataFrame:
+        keys = super().departments
+        return keys.unionByName(keys.filter(F.col("department_id") % 2 == 0))
+
+    @cached_property
+    def positions(self) -> DataFrame:
+        keys = super().positions
+        return keys.unionByName(keys.filter(F.col("position_id") % 2 == 0))

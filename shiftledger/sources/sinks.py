@@ -2,35 +2,82 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shiftledger.functions.clock import as_day, day_literal
 
-def write_days(df: DataFrame, path: str, day: str = "Data", fmt: str = "parquet") -> None:
-    """One directory per day; a rerun replaces just the days it writes.
 
-    Rebalancing by day gives few files for a small day and splits a large one.
+def write_days(
+    df: DataFrame,
+    path: str,
+    day: str = "Data",
+    fmt: str = "parquet",
+    period: tuple[date | str, date | str] | None = None,
+) -> None:
+    """One directory per day; a rerun replaces the days it writes.
+
+    With ``period``, the first and last day of the report, stored days of the
+    period that have no rows any more are removed as well.  Rebalancing by day
+    gives few files for a small day and splits a large one.
     """
+    written = Observation()
+    days = F.collect_set(F.col(f"`{day}`").cast("string")).alias("days")
     (
-        df.hint("rebalance", F.col(f"`{day}`"))
+        df.observe(written, days)
+        .hint("rebalance", F.col(f"`{day}`"))
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
         .save(path)
     )
+    if period is not None:
+        _remove_days(path, day, period, set(written.get["days"]))
+
+
+def _remove_days(path: str, day: str, period: tuple[date | str, date | str], kept: set) -> None:
+    system, root = fs.FileSystem.from_uri(path)
+    first, last = map(as_day, period)
+    for offset in range((last - first).days + 1):
+        text = (first + timedelta(days=offset)).isoformat()
+        folder = f"{root}/{day}={text}"
+        if text not in kept and system.get_file_info(folder).type == fs.FileType.Directory:
+            system.delete_dir(folder)
+
+
+def read_report(
+    spark: SparkSession,
+    path: str,
+    labels: dict[str, str],
+    from_day: date | str,
+    to_day: date | str,
+    day: str = "day",
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Days of a report that ``write_days`` stored, under the names ``labels`` were given to.
+
+    Only the directories of the days are read.
+    """
+    stored = spark.read.format(fmt).load(path)
+    named = stored.select(*[F.col(f"`{label}`").alias(name) for name, label in labels.items()])
+    in_period = F.col(day).between(day_literal(from_day), day_literal(to_day))
+    return named.filter(in_period)
 
 
-def export_csv(df: DataFrame, directory: str) -> str:
+def export_csv(df: DataFrame, directory: str, one_file: bool = True) -> str:
     """A CSV copy with header under a name of its own; returns its path.
 
-    A small report is one file.  A large one is split by size, each part with
-    the header.
+    ``one_file`` writes a single file, through one task.  Without it there is a
+    file per partition, each with the header.  Quotes are doubled, as other CSV
+    readers expect; for Spark's reader set ``escape`` to a quote and ``multiLine``.
     """
     path = f"{directory}/report-{uuid4()}"
-    df.hint("rebalance").write.options(
-        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    (df.coalesce(1) if one_file else df).write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
     return path

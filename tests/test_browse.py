@@ -7,6 +7,8 @@ import pytest
 from shiftledger.operators.browse import (
     facet_filter,
     facet_values,
+    open_sorted,
+    store_sorted,
     table_page,
     table_search,
     table_sort,
@@ -59,20 +61,29 @@ def test_pages(table):
 
 
 @pytest.mark.parametrize("ascending", [True, False])
-def test_deep_pages_equal_top_k_pages(spark, ascending):
+def test_stored_pages_in_order(spark, tmp_path, ascending):
     df = spark.range(1000, numPartitions=7).selectExpr("cast(id % 13 as string) a", "id b")
     pages = []
+    store_sorted(df, str(tmp_path), "a", ascending)
+    stored = open_sorted(spark, str(tmp_path))
+    everything = table_sort(df, "a", ascending).collect()
+    assert table_page(df, 2, 120, "a", ascending).collect() == everything[120:240]
     for page in (1, 2, 5, 9, 10, 11):
-        top = table_page(df, page, 120, "a", ascending).collect()
-        deep = table_page(df, page, 120, "a", ascending, deep_rows=0).collect()
-        assert deep == top
+        top = stored.page(page, 120).collect()
+        assert stored.page(page, 120).collect() == top
+        if top:
+            assert top == everything[(page - 1) * 120 :][:120]
         pages.append(len(top))
     assert pages == [120, 120, 120, 40, 0, 0]
 
 
-def test_deep_page_plan_has_no_limit(spark, table):
-    plan = table_page(table, 1, 3, deep_rows=0)._jdf.queryExecution().executedPlan().toString()
+def test_stored_page_reads_only_its_part(spark, table, tmp_path):
+    page = store_sorted(table, str(tmp_path)).page(1, 3)
+    plan = page._jdf.queryExecution().executedPlan().toString()
     assert "Limit" not in plan and "TakeOrdered" not in plan
+    assert "PushedFilters" in plan
+    with pytest.raises(ValueError):
+        table_page(table, 11, 100)
 
 
 def test_sort(table):
@@ -113,6 +124,8 @@ def test_checkpoint_folder(tmp_path):
     assert cluster.sparkContext.folder == "hdfs://shared/checkpoints"
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session("yarn", {}))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session("local-cluster[2,1,1024]", {}))
     local = Session("local[2]", {})
     ensure_checkpoint_dir(local)
     assert local.sparkContext.folder is not None

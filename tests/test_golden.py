@@ -78,7 +78,7 @@ def summary_case_tables(spark):
 
 
 @pytest.mark.parametrize("small_roster", [True, False])
-@pytest.mark.parametrize("split", [{}, {"split_hot": True, "hot_rows": 0, "hot_ratio": 0}])
+@pytest.mark.parametrize("split", [{}, {"split_hot": True, "hot_rows": 0}])
 def test_summary_cases(spark, small_roster, split):
     report = summary_report(
         summary_case_tables(spark), DAY, DAY, AS_OF, small_roster=small_roster, **split
@@ -182,7 +182,7 @@ def test_report_time_before_the_event_gives_a_negative_duration(spark):
     ]
 
 
-@pytest.mark.parametrize("split", [{}, {"split_hot": True, "hot_rows": 0, "hot_ratio": 0}])
+@pytest.mark.parametrize("split", [{}, {"split_hot": True, "hot_rows": 0}])
 def test_repeated_delivery(spark, split):
     events = [event(1, 1, 1, "06:00")] * 3 + [event(1, 2, 2, "09:00")]
     tables = make_tables(spark, [], events, [person(1, "a")])
@@ -194,7 +194,7 @@ def test_repeated_delivery(spark, split):
     ]
 
 
-@pytest.mark.parametrize("split", [{}, {"split_hot": True, "hot_rows": 0, "hot_ratio": 0}])
+@pytest.mark.parametrize("split", [{}, {"split_hot": True, "hot_rows": 0}])
 def test_repeated_delivery_that_ends_at_the_report_time(spark, split):
     events = [event(1, 1, 1, "06:00")] * 3
     tables = make_tables(spark, [], events, [person(1, "a")])

@@ -16,8 +16,8 @@ DAYS = [date(2024, 1, 5), date(2024, 1, 6), date(2024, 1, 7)]
 SPLITS = {
     "window": {"split_hot": False},
     "checked": {"split_hot": True},
-    "all hot": {"split_hot": True, "hot_rows": 0, "hot_ratio": 0},
-    "some hot": {"split_hot": True, "hot_rows": 25, "hot_ratio": 0},
+    "all hot": {"split_hot": True, "hot_rows": 0},
+    "some hot": {"split_hot": True, "hot_rows": 25},
 }
 
 

@@ -4,9 +4,9 @@ import pytest
 
 from catalog.queries import AS_OF, FROM_DAY, TO_DAY
 from shiftledger import detail_report, summary_report
-from shiftledger.operators.activity import event_intervals
+from shiftledger.operators.activity import activity, event_intervals
 from shiftledger.operators.filters import in_event_window
-from shiftledger.operators.successors import BUCKETS, hot_buckets, next_event, successors
+from shiftledger.operators.successors import BUCKETS, hot_buckets, hot_days, next_event, successors
 from shiftledger.plans.reports import employee_day_rows
 from shiftledger.sources.sample import SampleTables
 from tests.build import event, make_tables, person, ts
@@ -111,7 +111,7 @@ def test_adaptive_execution_splits_a_hot_employee(spark):
         },
     )
     try:
-        split = {"split_hot": True, "hot_rows": 1000, "hot_ratio": 0}
+        split = {"split_hot": True, "hot_rows": 1000}
         report = detail_report(tables, "2024-01-05", "2024-01-05", ts("21:00"), **split)
         plan = final_plan(report)
         assert "skew=true" in plan
@@ -126,37 +126,84 @@ def test_hot_check(tables):
     )
     counted = events.groupBy("employee_id", "day").count().collect()
     sizes = sorted(row["count"] for row in counted)
-    assert hot_buckets(events, 1_000_000, 4) == []
-    assert hot_buckets(events.limit(0), 0, 0) == []
-    assert len(hot_buckets(events, 0, 0)) <= len(sizes)
-    # a bucket holds at least its largest group
-    assert 0 < len(hot_buckets(events, sizes[-1] - 1, 0)) < len(sizes)
-    # above the row limit, but not above the multiple of the mean
-    assert hot_buckets(events, 0, BUCKETS) == []
+    assert hot_buckets(events, 1_000_000) == []
+    assert hot_buckets(events.limit(0), 0) == []
+    assert 0 < len(hot_buckets(events, 0)) <= min(BUCKETS, len(sizes))
+    assert hot_days(events, sizes[-1]).keys is None
+    # the limit is per employee-day, whatever else its bucket holds
+    limit = sizes[len(sizes) // 2]
+    assert hot_days(events, limit).keys.count() == sum(size > limit for size in sizes)
+
+
+def test_the_limit_does_not_grow_with_the_events(spark):
+    """More events than buckets times the limit, and one employee-day above it."""
+    dated = "timestamp_ntz '2024-01-05 08:00:00' + make_dt_interval(0, 0, 0, cast(id % 40000 as decimal(18,6)))"
+    events = spark.range(2 * BUCKETS + 100).selectExpr(
+        "id as event_id", f"{dated} as event_ts", "1 as event_type",
+        "case when id < 100 then 0 else id end as employee_id",
+    )
+    keys = hot_days(events, hot_rows=2).keys
+    assert [row["hot_employee"] for row in keys.collect()] == [0]
+
 
+def test_copies_in_a_small_file_are_counted(spark, tmp_path):
+    one = "timestamp_ntz '2024-01-05 08:00:00' as event_ts, 1 as event_type, 1L as employee_id"
+    spark.range(200_000).selectExpr("7L as event_id", *one.split(", ")).write.parquet(f"{tmp_path}/e")
+    events = spark.read.parquet(f"{tmp_path}/e")
+    found = successors(events, hot_rows=100_000)
+    assert "Union" in initial_plan(found)
+    assert next_event(events, hot_rows=100_000).count() == 2
 
-def test_small_events_are_not_counted(spark, tables):
-    """The check is a job of its own; a table within the broadcast threshold needs none."""
+
+def test_a_count_serves_both_reports(tables):
     events = in_event_window(tables.clock_events, FROM_DAY, TO_DAY, "22:59:59")
-    assert "Union" not in initial_plan(successors(events, hot_rows=0, hot_ratio=0))
-    before = conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "1KB"})
+    hot = hot_days(events, 0)
+    for report in (detail_report, summary_report):
+        assert "LeftAnti" in initial_plan(report(tables, *PERIOD, hot=hot))
+
+
+def test_both_reports_read_the_facts_once(tables):
+    facts = activity(tables, *PERIOD).persist()
     try:
-        assert "Union" in initial_plan(successors(events, hot_rows=0, hot_ratio=0))
+        for report in (detail_report, summary_report):
+            plan = final_plan(report(tables, *PERIOD, facts=facts))
+            # the only scans are those that filled the cache
+            cached = plan[plan.index("InMemoryRelation") :]
+            for table in ("event_id", "l_orderkey"):
+                assert plan.count(f"FileScan parquet [{table}") == cached.count(f"FileScan parquet [{table}") == 1
     finally:
-        conf(spark, before)
+        facts.unpersist()
+
+
+def test_departments_of_unknown_size_move_no_activity(spark, tables):
+    class Unknown:
+        """The tables, with departments that Spark has no size of."""
+
+        count_events = True
+
+        def __getattr__(self, name):
+            df = getattr(tables, name)
+            return spark.createDataFrame(df.rdd, df.schema) if name == "departments" else df
+
+    plan = initial_plan(detail_report(Unknown(), *PERIOD))
+    # the activity is shuffled by employee only; the department meets the master data
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(department_id" in line]
+    assert len(moved) == 1
+    assert plan.index("Exchange hashpartitioning(employee_id") < plan.index(moved[0])
+    assert "Union" not in plan[plan.index(moved[0]) :]
 
 
 def test_only_hot_events_are_split(tables):
     """Ordinary events keep the one-shuffle window beside the split."""
     events = in_event_window(tables.clock_events, FROM_DAY, TO_DAY, "22:59:59")
-    plan = initial_plan(successors(events, split_hot=True, hot_rows=3, hot_ratio=0))
+    plan = initial_plan(successors(events, split_hot=True, hot_rows=3))
     assert "LeftAnti" in plan and "LeftSemi" in plan
     assert "Union" in plan
 
 
 def test_split_events_are_read_once(tables):
     events = in_event_window(tables.clock_events, FROM_DAY, TO_DAY, "22:59:59")
-    split = {"split_hot": True, "hot_rows": 3, "hot_ratio": 0}
+    split = {"split_hot": True, "hot_rows": 3}
     intervals = event_intervals(tables.clock_events, *PERIOD, **split)
     for df in (next_event(events, **split), intervals):
         plan = final_plan(df)

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from shiftledger import read_jdbc, read_relations, read_tables, summary_report
 from shiftledger.__main__ import main
+from shiftledger.operators.activity import event_intervals
 from shiftledger.operators.labels import DETAIL_LABELS, SUMMARY_LABELS, labeled
 from shiftledger.operators.rollup import MEMBER
 from shiftledger.sources.schemas import RELATION_COLUMNS, RELATIONS, SCHEMAS
-from shiftledger.sources.sinks import export_csv, write_days
-from shiftledger.sources.tables import decimals_as_double, slice_predicates
+from shiftledger.sources.sinks import export_csv, read_report, write_days
+from shiftledger.sources.tables import conform, decimals_as_double, slice_predicates
 from tests.build import event, make_tables, person, work
 
 DAY, NEXT_DAY = "2024-01-05", "2024-01-06"
@@ -61,14 +62,16 @@ def plan_of(df):
 def test_partitioned_tables_give_the_same_report(spark, tables, stored):
     period = (DAY, NEXT_DAY, AS_OF)
     expected = rows_of(summary_report(tables, *period))
-    assert rows_of(summary_report(read_tables(spark, stored), *period)) == expected
+    assert rows_of(summary_report(read_tables(spark, stored, day_partition="day"), *period)) == expected
 
 
 def test_day_range_prunes_partitions_and_reaches_the_scan(spark, stored):
     spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
-    plan = plan_of(summary_report(read_tables(spark, stored), DAY, DAY, AS_OF, split_hot=False))
+    plan = plan_of(summary_report(
+        read_tables(spark, stored, day_partition="day"), DAY, DAY, AS_OF, split_hot=False)
+    )
     spark.conf.unset("spark.sql.maxMetadataStringLength")
-    assert "PartitionFilters: [isnotnull(day" in plan
+    assert "PartitionFilters: [(isnull(cast(day" in plan or "PartitionFilters: [(isnull(day" in plan
     assert "GreaterThanOrEqual(event_ts,2024-01-05T00:00)" in plan
     assert "LessThan(event_ts,2024-01-06T00:00)" in plan
     assert "GreaterThanOrEqual(start_ts,2024-01-05T00:00)" in plan
@@ -115,7 +118,7 @@ def test_jdbc_reads_fact_tables_in_time_slices(tables):
     class Session:
         read = Reader()
 
-    read_jdbc(Session(), "jdbc:postgresql://db/x", DAY, NEXT_DAY, {"user": "u"}, slices_per_day=4)
+    read_jdbc(Session(), "jdbc:postgresql://db/x", DAY, NEXT_DAY, {"user": "u"}, slices=8)
     assert set(calls) == set(RELATIONS.values())
     url, predicates, properties = calls["tb_rcp_wydarzenia"]
     assert url == "jdbc:postgresql://db/x"
@@ -123,6 +126,7 @@ def test_jdbc_reads_fact_tables_in_time_slices(tables):
     assert len(predicates) == 8
     assert len(calls["tg_praceall"][1]) == 8
     assert calls["tb_pracownicy"][1] is None
+    assert len(slice_predicates("t", "2014-01-01", "2023-12-31", 64)) == 64
 
 
 def test_time_slices_cover_the_days_once(spark):
@@ -136,13 +140,13 @@ def test_time_slices_cover_the_days_once(spark):
     df = spark.createDataFrame([(m,) for m in moments], "t timestamp_ntz")
     df.createOrReplaceTempView("moments")
     found = []
-    for predicate in slice_predicates("t", DAY, NEXT_DAY, 4):
+    for predicate in slice_predicates("t", DAY, NEXT_DAY, 7):
         spark_text = predicate.replace("timestamp '", "timestamp_ntz '")
         rows = spark.sql(f"SELECT t FROM moments WHERE {spark_text}").collect()
         found += [row["t"] for row in rows]
     assert sorted(found) == moments[1:4]
     with pytest.raises(ValueError):
-        slice_predicates("t", DAY, DAY, 7)
+        slice_predicates("t", DAY, DAY, 0)
 
 
 def test_decimals_as_double(spark):
@@ -189,3 +193,77 @@ def test_command_line(spark, tables, stored, tmp_path, capsys):
     assert spark.read.parquet(f"{out}/summary").count() == 3
     exported = capsys.readouterr().out.strip().splitlines()[-1]
     assert spark.read.option("header", True).csv(exported).count() == 3
+
+
+def test_a_column_called_day_drops_nothing(spark, tmp_path):
+    """Ingest days: another day, the day itself, none."""
+    events = [
+        (1, datetime(2024, 1, 5, 8), 1, 1, datetime(2024, 1, 6).date()),
+        (2, datetime(2024, 1, 5, 9), 1, 1, datetime(2024, 1, 5).date()),
+        (3, datetime(2024, 1, 5, 10), 1, 1, None),
+    ]
+    schema = "event_id long, event_ts timestamp_ntz, event_type int, employee_id long, day date"
+    df = conform(spark.createDataFrame(events, schema), "clock_events")
+    found = event_intervals(df, DAY, DAY, "2024-01-05 12:00:00").orderBy("event_id").collect()
+    assert [row["stop_ts"].hour for row in found] == [9, 10, 12]
+
+
+def test_null_partitions_are_read(spark):
+    events = [(1, datetime(2024, 1, 5, 8), 1, 1, None), (2, datetime(2024, 1, 5, 9), 1, 1, datetime(2024, 1, 5).date())]
+    schema = "event_id long, event_ts timestamp_ntz, event_type int, employee_id long, p date"
+    df = conform(spark.createDataFrame(events, schema), "clock_events", day_partition="p")
+    assert event_intervals(df, DAY, DAY, "2024-01-05 12:00:00").count() == 2
+
+
+def test_instants_mean_the_same_in_every_session_zone(spark, tables, tmp_path):
+    moments = spark.createDataFrame([(1, 1704412800000000, 1, 1)], "event_id long, us long, event_type int, employee_id long")
+    moments.selectExpr("event_id", "timestamp_micros(us) as event_ts", "event_type", "employee_id").write.parquet(f"{tmp_path}/e")
+    before, seen = spark.conf.get("spark.sql.session.timeZone"), set()
+    try:
+        for zone in ("UTC", "Europe/Warsaw", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            source = spark.read.parquet(f"{tmp_path}/e")
+            with pytest.raises(ValueError, match="source_zone"):
+                conform(source, "clock_events")
+            row = conform(source, "clock_events", source_zone="Europe/Warsaw").first()
+            seen.add(row["event_ts"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert seen == {datetime(2024, 1, 5, 1)}
+
+
+def test_a_report_time_with_an_offset_is_refused(tables):
+    with pytest.raises(ValueError, match="offset"):
+        summary_report(tables, DAY, DAY, "2024-01-05T12:00:00+05:00")
+
+
+def test_an_emptied_day_disappears(spark, tmp_path):
+    def report(days):
+        return spark.createDataFrame([(d, n) for n, d in enumerate(days)], "d string, n int").selectExpr("cast(d as date) as Data", "n")
+
+    path = str(tmp_path / "r")
+    write_days(report(["2024-01-04", DAY, NEXT_DAY]), path)
+    write_days(report([DAY]), path, period=(DAY, NEXT_DAY))
+    assert sorted(str(r["Data"]) for r in spark.read.parquet(path).collect()) == ["2024-01-04", DAY]
+    write_days(report([]), path, period=(DAY, NEXT_DAY))
+    assert [str(r["Data"]) for r in spark.read.parquet(path).collect()] == ["2024-01-04"]
+
+
+def test_csv_text_survives(spark, tmp_path):
+    texts = ['a"b', "a\\b", 'x\\"y', "p,q", "two\nlines", '"', "żółć"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(3)
+    (part,) = Path(export_csv(df, str(tmp_path))).glob("*.csv")
+    with part.open(encoding="utf-8", newline="") as lines:
+        header, *rows = csv.reader(lines)
+    assert sorted(r[0] for r in rows) == sorted(texts)
+    assert len(list(Path(export_csv(df, str(tmp_path), one_file=False)).glob("*.csv"))) > 1
+
+
+def test_stored_report_reads_back_by_day(spark, tables, tmp_path):
+    path = str(tmp_path / "summary")
+    report = summary_report(tables, DAY, NEXT_DAY, AS_OF)
+    write_days(labeled(report, SUMMARY_LABELS), path)
+    back = read_report(spark, path, SUMMARY_LABELS, NEXT_DAY, NEXT_DAY)
+    assert back.columns == report.columns
+    assert rows_of(back) == rows_of(report.filter(F.col("day") == NEXT_DAY))
+    assert "PartitionFilters: [isnotnull(Data" in plan_of(back)
