@@ -48,35 +48,63 @@ _NAME = r"\p{Lu}[\p{L}'’-]{1,30}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 
-def _after(honorifics: list[str]) -> str:
-    return rf"(?<=(?<![\p{{L}}\p{{N}}])(?:{'|'.join(honorifics)})(?:\. ?| ))"
+def _title(honorifics: list[str]) -> str:
+    return rf"((?:{'|'.join(honorifics)})(?:\. ?| ))"
 
 
 _ANY = _MALE + _FEMALE
+#: Male and female given name with surname, or a surname alone; a first letter is tried before all else.
+_NAMES = (
+    rf"(?=[{''.join(sorted({h[0] for h in _ANY}))}])(?<![\p{{L}}\p{{N}}])"
+    rf"(?:{_title(_MALE)}({_NAME})( )({_NAME})|{_title(_FEMALE)}({_NAME})( )({_NAME})|{_title(_ANY)}({_NAME}))"
+)
+_EMAIL = r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
 #: One letter per kind, and what marks it; the first that matches wins.
-KINDS: dict[str, str] = {
-    "E": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+_CODES: dict[str, str] = {
     "K": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|(?:sk|ghp|xoxb)[-_][A-Za-z0-9]{16,64})(?![A-Za-z0-9])",
     "I": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     "N": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "P": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4})(?!\d)",
     "C": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
-    "M": rf"{_after(_MALE)}{_NAME}(?= {_NAME})",
-    "F": rf"{_after(_FEMALE)}{_NAME}(?= {_NAME})",
-    "S": rf"{_after(_ANY)}{_NAME}|(?<=(?<![\p{{L}}\p{{N}}])(?:{'|'.join(_ANY)})(?:\. ?| ){_NAME} ){_NAME}",
 }
-_PATTERN = "|".join(f"({p})" for p in KINDS.values())
+#: Marks made before are passed over.
+_CODE = (
+    rf"(?=[{_OPEN}0-9+(Asgx])(?:({_OPEN}[^{_CLOSE}]*{_CLOSE})|"
+    + "|".join(f"({p})" for p in _CODES.values())
+    + ")"
+)
+
+
+def _mark(kind: str, group: int) -> str:
+    return f"{_OPEN}{kind}${group}{_CLOSE}"
 
 
 def _marked(text: Column) -> Column:
-    """Entities between marks, with the letter of their kind."""
+    """Entities between marks, with the letter of their kind.
+
+    A group that did not take part leaves an empty mark, which is removed.
+    """
+
+    def without_empty(marked: Column) -> Column:
+        return F.regexp_replace(marked, f"{_OPEN}[A-Z]{_CLOSE}", "")
+
     escaped = text
     for n, mark in enumerate((_ESCAPE, _OPEN, _CLOSE)):
         escaped = F.replace(escaped, F.lit(mark), F.lit(f"{_ESCAPE}{n}"))
-    marks = "".join(f"{_OPEN}{kind}${n}{_CLOSE}" for n, kind in enumerate(KINDS, 1))
-    return F.regexp_replace(
-        F.regexp_replace(escaped, _PATTERN, marks), f"{_OPEN}[A-Z]{_CLOSE}", ""
-    )
+    parts = "$1" + _mark("M", 2) + "$3" + _mark("S", 4) + "$5" + _mark("F", 6) + "$7" + _mark("S", 8) + "$9" + _mark("S", 10)
+    names = F.regexp_replace(escaped, _NAMES, parts)
+    names = F.when(F.contains(names, F.lit(_OPEN)), without_empty(names)).otherwise(escaped)
+
+    def with_email(t: Column) -> Column:
+        return F.when(F.contains(t, F.lit("@")), F.regexp_replace(t, _EMAIL, _mark("E", 1))).otherwise(t)
+
+    codes = "$1" + "".join(_mark(kind, n) for n, kind in enumerate(_CODES, 2))
+
+    def with_codes(t: Column) -> Column:
+        found = without_empty(F.regexp_replace(t, _CODE, codes))
+        return F.when(F.regexp_like(t, F.lit("[0-9]{3}|AKIA|[-_]")), found).otherwise(t)
+
+    return bound(bound(names, with_email), with_codes)
 
 
 def _unescaped(text: Column) -> Column:
