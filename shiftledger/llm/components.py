@@ -14,7 +14,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     Each round hangs the larger neighbours of every node on its smallest
     neighbour, then the smaller ones, until nothing moves.  A hub's
     neighbours are counted before the shuffle and split by adaptive execution in
-    the joins.  Nodes without a link to another do not occur in the result.
+    the joins.  A root, and a node
+    without links, has no row as a node.
     """
     forward = links.filter("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
