@@ -62,6 +62,7 @@ class Linear:
         if not len(y) or y.min() == y.max():
             share = (y.sum() + 0.5) / (len(y) + 1)
             return cls(np.zeros(x.shape[1], np.float32), float(np.log(share / (1 - share))))
+        y = y.astype(np.float32)
         rows = np.full(len(y), 1 / len(y), np.float32)
         curvature = 0.25 * (_largest(x, rows) + 1) + PENALTY
         w = ahead = np.zeros(x.shape[1], np.float32)
