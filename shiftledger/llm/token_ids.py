@@ -41,7 +41,7 @@ ROUNDS = 4
 RULES = 2048
 MIN_COUNT = 32
 #: Words in each of the two generations that a worker remembers.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 120_000
 MAGIC = b"RPR1"
 _BUCKETS = 1 << 18
 _SHIFT = np.uint32(14)
