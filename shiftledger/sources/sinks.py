@@ -6,7 +6,7 @@ from datetime import date, timedelta
 from uuid import uuid4
 
 from pyarrow import fs
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftledger.functions.clock import as_day, day_literal
@@ -25,29 +25,34 @@ def write_days(
     period that have no rows any more are removed as well.  Rebalancing by day
     gives few files for a small day and splits a large one.
     """
-    written = Observation()
-    days = F.collect_set(F.col(f"`{day}`").cast("string")).alias("days")
+    before = _files(path, day, period) if period is not None else {}
     (
-        df.observe(written, days)
-        .hint("rebalance", F.col(f"`{day}`"))
+        df.hint("rebalance", F.col(f"`{day}`"))
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
         .save(path)
     )
-    if period is not None:
-        _remove_days(path, day, period, set(written.get["days"]))
+    # every run names its files anew, so a day with the files of before was not written
+    if before:
+        after = _files(path, day, period)
+        system, _ = fs.FileSystem.from_uri(path)
+        for folder, names in before.items():
+            if after.get(folder) == names:
+                system.delete_dir(folder)
 
 
-def _remove_days(path: str, day: str, period: tuple[date | str, date | str], kept: set) -> None:
+def _files(path: str, day: str, period: tuple[date | str, date | str]) -> dict[str, set[str]]:
+    """Files of the stored days of the period, by directory."""
     system, root = fs.FileSystem.from_uri(path)
     first, last = map(as_day, period)
+    found = {}
     for offset in range((last - first).days + 1):
-        text = (first + timedelta(days=offset)).isoformat()
-        folder = f"{root}/{day}={text}"
-        if text not in kept and system.get_file_info(folder).type == fs.FileType.Directory:
-            system.delete_dir(folder)
+        folder = f"{root}/{day}={first + timedelta(days=offset)}"
+        if system.get_file_info(folder).type == fs.FileType.Directory:
+            found[folder] = {info.path for info in system.get_file_info(fs.FileSelector(folder))}
+    return found
 
 
 def read_report(
