@@ -20,13 +20,15 @@ other columns are ignored.  A document longer than a shard gets a shard of its o
 from __future__ import annotations
 
 import json
-import re
+import os
+import string
 import zlib
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +42,9 @@ SHARD_IDS = 1 << 21
 ROUNDS = 4
 RULES = 2048
 MIN_COUNT = 32
-#: Words in each of the two generations that a worker remembers.
-CACHED_WORDS = 120_000
+#: Bytes of texts and different words of them that are encoded at once, about.
+TEXT_AT_ONCE = 1 << 23
+WORDS_AT_ONCE = 4096
 MAGIC = b"RPR1"
 _BUCKETS = 1 << 18
 _SHIFT = np.uint32(14)
@@ -49,47 +52,99 @@ _SHIFT = np.uint32(14)
 _MANIFEST = "shard string, part int, base long, ids long"
 
 
+def _gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of ``ids`` numbered ``at``, one after the other, and where each ends."""
+    widths = sizes[at]
+    ends = np.cumsum(widths)
+    shift = starts[at] - (ends - widths)
+    return ids[np.repeat(shift, widths) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
 class WordIds:
-    """Ids of white-space separated words as little-endian bytes, each word encoded once.
+    """Ids of texts; of the texts encoded together, each different word is encoded once.
 
-    For tokenizers that never join characters across white space, ignore case
-    and keep a full stop or comma apart from letters before it.  Two
-    generations of words are remembered, so that frequent ones stay.
+    For tokenizers that never join characters across white space, ignore the case
+    of ASCII letters and keep a run of marks apart from letters before it.
     """
 
     def __init__(self, path: str) -> None:
+        # a task has one core; threads of the library would only wait for each other
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._now: dict[str, bytes] = {}
-        self._before: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self._now) >= CACHED_WORDS:
-            self._before, self._now = self._now, {}
-        missing = words.difference(self._now)
-        for word in missing.intersection(self._before):
-            self._now[word] = self._before[word]
-            missing.discard(word)
-        plain = {word: _PLAIN.fullmatch(word) for word in missing}
-        stems = {m[1].lower() if m else word for word, m in plain.items()}
-        stems = [w for w in stems.union(".,") if w not in self._now]
-        for stem, found in zip(
-            stems, self.tokenizer.encode_batch_fast(stems, add_special_tokens=False), strict=True
-        ):
-            self._now[stem] = np.array(found.ids, "<u4").tobytes()
-        for word, m in plain.items():
-            if m:
-                self._now[word] = self._now[m[1].lower()] + (self._now[m[2]] if m[2] else b"")
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 64):
-            # str.split() also splits at the separators, which are no white space to a tokenizer
-            split = [
-                _SPACE.split(t) if _SEPARATORS.search(t) else t.split() for t in texts[at : at + 64]
-            ]
-            self._learn(set().union(*split))
-            yield from (b"".join(map(self._now.__getitem__, words)) for words in split)
+        # which ids end a run of letters, if the vocabulary tells
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self._ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [f.ids for f in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.array([len(ids) for ids in found], np.int64)
+        return np.array([i for ids in found for i in ids], "<u4"), sizes
+
+    def _as_one_text(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of letters, cut where ids end them."""
+        found = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(found[0].ids, "<u4")
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return self._one_by_one(words)
+        return ids, np.diff(ends, prepend=0)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different words, where those of each start, and how many they are."""
+        letters = pc.ascii_rtrim(words, characters=string.punctuation)
+        # a letter that normalises or, as only this one does, lower-cases to more than letters
+        # could join the marks behind it
+        plain = pc.utf8_is_alpha(pc.utf8_normalize(letters, form="NFC"))
+        plain = pc.and_(plain, pc.invert(pc.match_substring(letters, "İ")))
+        marked = pc.and_(plain, pc.not_equal(pc.binary_length(words), pc.binary_length(letters)))
+        heads = pc.if_else(plain, pc.ascii_lower(letters), words).dictionary_encode()
+        pairs = zip(words.filter(marked).to_pylist(), letters.filter(marked).to_pylist(), strict=True)
+        tails = pa.array([word[len(head) :] for word, head in pairs], pa.string()).dictionary_encode()
+
+        alone = ~pc.utf8_is_alpha(heads.dictionary).to_numpy(zero_copy_only=False)
+        order = np.argsort(alone, kind="stable")
+        known = heads.dictionary.take(pa.array(order)).to_pylist()
+        middle = len(order) - int(alone.sum())
+        parts = [
+            self._as_one_text(known[low : min(low + WORDS_AT_ONCE, middle)])
+            for low in range(0, middle, WORDS_AT_ONCE)
+        ]
+        rest = known[middle:] + tails.dictionary.to_pylist() + [""]
+        parts += [
+            self._one_by_one(rest[low : low + WORDS_AT_ONCE])
+            for low in range(0, len(rest), WORDS_AT_ONCE)
+        ]
+        ids, sizes = (np.concatenate(p) for p in zip(*parts, strict=True))
+        starts = np.cumsum(sizes) - sizes
+        # each word is a head and a tail, which is empty for most
+        both = np.full((len(words), 2), len(sizes) - 1)
+        both[:, 0] = np.argsort(order)[heads.indices.to_numpy()]
+        both[marked.to_numpy(zero_copy_only=False), 1] = len(order) + tails.indices.to_numpy()
+        flat, ends = _gathered(ids, starts, sizes, both.ravel())
+        ends = ends[1::2]
+        sizes = np.diff(ends, prepend=0)
+        return flat, ends - sizes, sizes
+
+    def _texts(self, texts: pa.Array) -> Iterator[bytes]:
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        flat, ends = _gathered(*self._words(coded.dictionary), coded.indices.to_numpy())
+        data = flat.tobytes()
+        at = 4 * np.concatenate([[0], ends])[np.cumsum(split.value_lengths().to_numpy())]
+        yield from (data[low:high] for low, high in zip([0, *at.tolist()], at.tolist(), strict=False))
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text as little-endian bytes."""
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy()) // TEXT_AT_ONCE
+        cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(texts)]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            if high > low:
+                yield from self._texts(texts.slice(low, high - low))
 
 
 @cache
@@ -98,12 +153,6 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-#: ASCII letters, then perhaps one mark that is a token of its own.
-_PLAIN = re.compile("([A-Za-z]+)([.,]?)")
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
-
-
 def compress(
     ids: np.ndarray, first: int, end_id: int = END_ID,
     rounds: int = ROUNDS, rules: int = RULES, min_count: int = MIN_COUNT,
@@ -269,7 +318,7 @@ def write_shards(
             return pa.RecordBatch.from_arrays(arrays, names=["shard", "part", "base", "ids"])
 
         for batch in batches:
-            encodings = words.encode(batch.column(1).to_pylist())
+            encodings = words.encode(batch.column(1))
             for key, encoded in zip(batch.column(0).to_pylist(), encodings, strict=True):
                 if held and held + len(encoded) // 4 + 1 > shard_ids:
                     yield flush()

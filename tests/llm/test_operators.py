@@ -11,6 +11,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -439,3 +440,17 @@ def test_mixing(spark):
     assert sorted(r["doc_id"] for r in mixing.mixed(df).collect()) == sorted(i for i, *_, c in rows for _ in range(c))
     assert mixing.mixed(df).columns == df.columns
     assert mixing.copies(df.limit(0)).count() == 0
+
+
+def test_words_encoded_apart_equal_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path()
+    draw = random.Random(3)
+    odd = [*"aàZzİßΣς'’.,<|>_-09Ⅷ一  \x85\x1c\t\n　 é가ªﬁǅ", "ᄀ", "ᅡ", "é", "क़", "יִ"]
+    odd += ["don't", "<|endoftext|>", "</w>", " the ", "THE,***", "'ll"]
+    texts = ["".join(draw.choices(odd, k=draw.randint(0, 40))) for _ in range(5_000)] + ["", " ", "a "]
+    whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    found = token_ids.WordIds(path).encode(pa.array(texts))
+    assert list(found) == [np.array(e.ids, "<u4").tobytes() for e in whole]
+    assert list(token_ids.WordIds(path).encode(pa.array([], pa.string()))) == []
