@@ -67,6 +67,8 @@ _CODES: dict[str, str] = {
     "P": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4})(?!\d)",
     "C": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
 }
+#: What each of these patterns implies, so that texts without it need no search.
+_CODED = "[0-9]|AKIA|[-_]"
 #: Marks made before are passed over.
 _CODE = (
     rf"(?=[{_OPEN}0-9+(Asgx])(?:({_OPEN}[^{_CLOSE}]*{_CLOSE})|"
@@ -102,7 +104,7 @@ def _marked(text: Column) -> Column:
 
     def with_codes(t: Column) -> Column:
         found = without_empty(F.regexp_replace(t, _CODE, codes))
-        return F.when(F.regexp_like(t, F.lit("[0-9]{3}|AKIA|[-_]")), found).otherwise(t)
+        return F.when(F.regexp_like(t, F.lit(_CODED)), found).otherwise(t)
 
     return bound(bound(names, with_email), with_codes)
 
