@@ -2,10 +2,14 @@
 
 Every vector gets one key per ordering: its direction is projected on a few
 random orthogonal axes, shifted by a random offset, cut into cells and placed
-on a Hilbert curve.  Spark range-sorts all keys.  Around each query the ``window``
-neighbours on both sides are candidates; they are scored exactly, in double
-precision on the original vectors, and the orderings' best are merged.  Windows
-reach across the ends of blocks, so no neighbour is lost to partitioning.
+on a Hilbert curve.  Spark range-sorts all keys.  Around each query the neighbours
+within a window on both sides are candidates; they are scored exactly, in double
+precision on the original vectors, and the orderings' best are merged.  Queries
+visit all blocks their windows reach, so no neighbour is lost to partitioning.
+
+The window is ``window`` at least, and grows until it holds a share of ``recall``
+of the true neighbours of ``ASKED`` queries, found by one pass over all vectors.
+On vectors without clusters it grows almost with the table, and the work with it.
 
 The cells of an ordering are fitted on at most ``SAMPLE`` vectors, those with
 the smallest hash of their id; every vector is indexed.
@@ -27,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftledger.llm.common import with_position, written
+from shiftledger.llm.common import small_frame, with_position, written
 from shiftledger.llm.hilbert import hilbert_keys
 
 NEAREST = 5
@@ -37,8 +41,14 @@ AXES = 12
 BITS = 5
 SAMPLE = 5_000
 SEED = 7
-#: Keys in a block, besides the windows at its ends.
+#: Keys in a block; longer windows make longer blocks, up to ``LONGEST``.
 BLOCK = 4096
+LONGEST = 16_384
+#: The window holds this share of the true neighbours of so many queries.
+RECALL = 0.95
+ASKED = 200
+#: Queries scored at once.
+CHUNK = 64
 
 
 def _usable(vector: Column) -> Column:
@@ -72,8 +82,9 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    rows = column.to_pylist()
-    return np.array(rows, np.float64).reshape(len(rows), -1)
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
 def _keys(points: DataFrame, curves: dict[int, list], orderings: int, seed: int) -> DataFrame:
@@ -105,8 +116,61 @@ def _keys(points: DataFrame, curves: dict[int, list], orderings: int, seed: int)
     return points.select("node", "dim", "asked", "embedding").mapInArrow(keyed, schema)
 
 
+def _exact(points: DataFrame, sample: list[tuple[int, list[float]]], nearest: int) -> dict[int, list[int]]:
+    """The true nearest nodes of the points (node, embedding) in ``sample``, by a pass over all points."""
+    by_dim: dict[int, list[tuple[int, list[float]]]] = {}
+    for node, vector in sample:
+        by_dim.setdefault(len(vector), []).append((node, vector))
+    asked = {dim: (np.array([n for n, _ in of]), _unit(np.array([v for _, v in of]))) for dim, of in by_dim.items()}
+
+    def best(batches):
+        found = {dim: (np.full((len(n), nearest), -np.inf), np.full((len(n), nearest), -1)) for dim, (n, _) in asked.items()}
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            for dim in set(np.unique(dims).tolist()) & asked.keys():
+                rows = batch.filter(pa.array(dims == dim))
+                other = rows.column("node").to_numpy()
+                queries, unit = asked[dim]
+                scores = unit @ _unit(_matrix(rows.column("embedding"))).T
+                scores[queries[:, None] == other] = -np.inf
+                scores = np.concatenate([found[dim][0], scores], axis=1)
+                nodes = np.concatenate([found[dim][1], np.broadcast_to(other, (len(queries), len(other)))], axis=1)
+                first = np.argpartition(scores, -nearest, axis=1)[:, -nearest:]
+                found[dim] = tuple(np.take_along_axis(a, first, axis=1) for a in (scores, nodes))
+        for dim, (scores, nodes) in found.items():
+            real = np.isfinite(scores)
+            queries = np.repeat(asked[dim][0], real.sum(axis=1))
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, (queries, nodes[real], scores[real]))), names=["query", "other", "score"])
+
+    by_score = Window.partitionBy("query").orderBy(F.desc("score"), "other")
+    found = points.select("node", "dim", "embedding").mapInArrow(best, "query long, other long, score double")
+    rows = found.withColumn("n", F.row_number().over(by_score)).filter(F.col("n") <= nearest).collect()
+    out: dict[int, list[int]] = {}
+    for row in rows:
+        out.setdefault(row["query"], []).append(row["other"])
+    return out
+
+
+def _fitted_window(points: DataFrame, placed: DataFrame, nearest: int, window: int, recall: float) -> int:
+    """``window``, or the one that holds a share of ``recall`` of the true neighbours of ``ASKED`` queries."""
+    asked = points.filter("asked").orderBy(F.xxhash64("node"), "node").limit(ASKED)
+    true = _exact(points, [tuple(r) for r in asked.select("node", "embedding").collect()], nearest)
+    pairs = [(query, other) for query, others in true.items() for other in others]
+    if not pairs:
+        return window
+    nodes = np.unique(pairs)
+    named = small_frame(points.sparkSession, {"node": pa.array(nodes, pa.int64())})
+    rows = placed.join(F.broadcast(named), "node").select("node", "ordering", "position").collect()
+    place = np.zeros((len(nodes), 1 + max(r["ordering"] for r in rows)), np.int64)
+    for row in rows:
+        place[np.searchsorted(nodes, row["node"]), row["ordering"]] = row["position"]
+    query, other = np.searchsorted(nodes, np.array(pairs)).T
+    gaps = np.abs(place[query] - place[other]).min(axis=1)
+    return max(window, int(np.quantile(gaps, recall, method="higher")))
+
+
 def _best(block: int, nearest: int, window: int):
-    """Scores the windows of one block; returns the nearest nodes of each query in it."""
+    """Scores one block for the queries in it or visiting it; returns the nearest of its nodes for each."""
 
     def score(table: pa.Table) -> pa.Table:
         table = table.sort_by("position")
@@ -116,28 +180,31 @@ def _best(block: int, nearest: int, window: int):
         curve |= table.column("dim").to_numpy()
         asked = table.column("asked").to_numpy()
         own = place // block == table.column("block").to_numpy()
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        queries = np.flatnonzero(asked & own)
-        for here in np.unique(curve[queries]).tolist():
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        for here in np.unique(curve[asked]).tolist():
             rows = np.flatnonzero(curve == here)
             unit = _unit(_matrix(table.column("embedding").take(pa.array(rows))))
-            at = np.searchsorted(rows, queries[curve[queries] == here])
-            for i in at.tolist():
-                low, high = np.searchsorted(place[rows], [place[rows[i]] - window, place[rows[i]] + window + 1])
-                near = np.concatenate([np.arange(low, i), np.arange(i + 1, high)])
-                if not len(near):
-                    continue
-                scores = np.einsum("ij,j->i", unit[near], unit[i])
+            near, queries = np.flatnonzero(own[rows]), np.flatnonzero(asked[rows])
+            if not len(near):
+                continue
+            units, places = unit[near], place[rows[near]]
+            for start in range(0, len(queries), CHUNK):
+                at = queries[start : start + CHUNK]
+                scores = unit[at] @ units.T
+                gap = np.abs(place[rows[at]][:, None] - places)
+                scores[(gap > window) | (gap == 0)] = -np.inf
                 if len(near) > nearest:
-                    least = np.partition(scores, -nearest)[-nearest]
-                    near, scores = near[scores >= least], scores[scores >= least]
-                first = np.lexsort((node[rows[near]], -scores))[:nearest]
-                found.append((np.full(len(first), node[rows[i]]), node[rows[near[first]]], scores[first]))
-        query, other, value = (
-            [np.concatenate(c) for c in zip(*found, strict=True)]
-            if found
-            else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
-        )
+                    # products of matrices may round otherwise than the scores below
+                    least = np.partition(scores, -nearest, axis=1)[:, -nearest, None] - 1e-9
+                    scores[scores < least] = -np.inf
+                i, j = np.nonzero(np.isfinite(scores))
+                values = np.einsum("ij,ij->i", unit[at[i]], units[j])
+                others = node[rows[near[j]]]
+                order = np.lexsort((others, -values, i))
+                rank = np.arange(len(i)) - np.searchsorted(i, i)
+                order = order[rank < nearest]
+                found.append((node[rows[at[i[order]]]], others[order], values[order]))
+        query, other, value = (np.concatenate(c) for c in zip(*found, strict=True))
         return pa.table({"query": query, "other": other, "score": value})
 
     return score
@@ -146,13 +213,12 @@ def _best(block: int, nearest: int, window: int):
 def nearest_neighbours(
     vectors: DataFrame, is_query: Column, nearest: int = NEAREST, orderings: int = ORDERINGS,
     window: int = WINDOW, block: int = BLOCK, seed: int = SEED, vec_id: str = "vec_id", embedding: str = "embedding",
+    recall: float = RECALL,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the nearest found for each query.
 
     ``is_query`` is a condition on the column ``vec_id``.
     """
-    if window > block:
-        raise ValueError("a window must not be longer than a block")
     rows = vectors.select(
         F.col(f"`{vec_id}`").cast("long").alias("vec_id"),
         F.col(f"`{embedding}`").cast("array<double>").alias("embedding"),
@@ -185,18 +251,18 @@ def nearest_neighbours(
     keys = _keys(points, curves, orderings, seed)
     order = [F.col(c).asc() for c in ("ordering", "dim", "key", "node")]
     placed = with_position(keys, order).drop("key")
-    number = F.floor(F.col("position") / block)
-    offset = F.col("position") % block
-    blocks = F.array_compact(
-        F.array(
-            number,
-            F.when(offset < window, number - 1),
-            F.when(offset >= block - window, number + 1),
-        )
-    )
+    window = _fitted_window(points, placed, nearest, window, recall)
+    block = max(block, min(window, LONGEST))
+
+    def number(position: Column) -> Column:
+        return F.floor(position / block)
+
+    position = F.col("position")
+    reached = F.sequence(number(F.greatest(position - window, F.lit(0))), number(position + window))
+    blocks = F.when(F.col("asked"), reached).otherwise(F.array(number(position)))
     spread = placed.withColumn("block", F.explode(blocks))
-    # blocks without a query need no vectors
-    busy = placed.filter("asked").select(number.alias("block")).distinct()
+    # blocks that no query reaches need no vectors
+    busy = spread.filter("asked").select("block").distinct()
     located = spread.join(busy, "block").join(points.select("node", "embedding"), "node")
     best = written(
         located.groupBy("block").applyInArrow(

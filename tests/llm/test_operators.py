@@ -169,6 +169,19 @@ def test_windows_reach_across_blocks(spark):
     assert hits / total >= 0.9
 
 
+def test_windows_grow_with_the_table(spark):
+    """Vectors without clusters, and few orderings of short windows to start from."""
+    vectors = np.random.default_rng(2).normal(size=(3000, 24))
+    df = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest_neighbours(df, F.col("vec_id") % 20 == 0, orderings=3, window=16, block=64)
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    got = set(tuples(found, "query_id", "vec_id"))
+    scores = unit[::20] @ unit.T
+    scores[np.arange(150), np.arange(0, 3000, 20)] = -9
+    true = {(20 * q, n) for q, best in enumerate(np.argsort(-scores, axis=1)[:, :5].tolist()) for n in best}
+    assert len(got & true) / len(true) >= 0.9
+
+
 # 4
 
 
