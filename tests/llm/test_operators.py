@@ -364,6 +364,19 @@ def test_the_chain_on_held_out_documents(spark):
     assert toxicity.kept_documents(docs, empty, "toxic").count() == docs.count()
 
 
+def test_the_chain_learns_from_few_labels(spark):
+    """A word of 30 toxic documents, of which half the table is, is no chance find; null labels count for none."""
+    rng = random.Random(12)
+    texts = [(n, " ".join(rng.choice("abcdefghij") * 3 for _ in range(12)) + (" grumbol" if n % 2 else "")) for n in range(120)]
+    labels = [(n, n % 2, None if n % 3 else 0) for n in range(60)]
+    rows = spark.createDataFrame(labels, "doc_id long, toxic int, quality int")
+    categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    chain = toxicity.fit_chain(documents(spark, texts), rows, categories)
+    assert "grumbol" in chain.vocabulary
+    got = {r["doc_id"]: r["toxic"] >= 0.5 for r in toxicity.scores(documents(spark, texts), chain).collect()}
+    assert all(got[n] == (n % 2 == 1) for n in range(60, 120))
+
+
 # 8
 
 
