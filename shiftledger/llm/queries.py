@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftledger.llm import debruijn, decontaminate, mixing, neighbours, simhash, suffixes, surrogates, token_ids, toxicity, warc
@@ -65,20 +65,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
 
 
-#: Words that tell two kinds of toxic text apart, as weak labels.
-INSULTS = ["idiot", "moron", "loser", "clown", "stupid", "scum"]
-CONTEMPT = ["worthless", "disgusting", "pathetic", "trash"]
-
-
 def toxicity_chain(documents: DataFrame, labels: DataFrame) -> toxicity.Chain:
-    """Insult and contempt first, from labels and words; then the label itself."""
-    toxic = F.col("toxic") == 1
-
-    def says(words: list[str]) -> Column:
-        return F.regexp_like(F.lower("text"), F.lit(rf"\b({'|'.join(words)})\b"))
-
-    categories = {"insult": toxic & says(INSULTS), "contempt": toxic & says(CONTEMPT), "toxic": toxic}
-    return toxicity.fit_chain(documents, labels.select("doc_id", "toxic"), categories)
+    """The labels of quality first, then those of toxicity."""
+    categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    return toxicity.fit_chain(documents, labels.select("doc_id", "quality", "toxic"), categories)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from shiftledger.llm import (
 from shiftledger.llm.common import shared_folder
 from shiftledger.llm.components import connected_components
 from shiftledger.llm.hilbert import hilbert_keys
-from shiftledger.llm.queries import tokenizer_path
+from shiftledger.llm.queries import tokenizer_path, toxicity_chain
 
 #: Names that the operators use themselves.
 CLASHING = "doc long, row long, marked string, rank int, fingerprint long, n long"
@@ -377,6 +377,15 @@ def test_the_chain_learns_from_few_labels(spark):
     assert all(got[n] == (n % 2 == 1) for n in range(60, 120))
 
 
+def test_the_chains_categories_come_from_the_labels(spark):
+    """Toxic words of no list: every model of the chain still has something to learn."""
+    texts = [(n, "plain words" + " grumbol" * (n % 2) + " junkum" * (n % 3 == 0)) for n in range(90)]
+    rows = spark.createDataFrame([(n, int(n % 3 > 0), n % 2) for n in range(90)], "doc_id long, quality int, toxic int")
+    chain = toxicity_chain(documents(spark, texts), rows)
+    assert len(chain.models) == len(chain.categories) > 1 and chain.categories[-1] == "toxic"
+    assert all(np.abs(m.weights).max() > 0 for m in chain.models)
+
+
 # 8
 
 
