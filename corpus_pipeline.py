@@ -40,10 +40,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found; rows are told apart by id and text, so a null id counts."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(written(found, "contaminated"), "doc_id", "left_anti").select(docs.columns)
+    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    found = decontaminate.contaminated(keyed, benchmark, doc_id="__row").select(F.col("doc_id").alias("__row")).distinct()
+    return keyed.join(written(found, "contaminated"), "__row", "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -55,3 +55,13 @@ def test_pipeline(spark):
             docs = kept
     again = corpus_pipeline.run(spark, SF_DIR)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, kept.collect()))
+
+
+def test_contaminated_rows_without_an_id_are_dropped(spark):
+    """And clean rows stay that share the id of a contaminated one."""
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").orderBy("item_id").first()["text"]
+    rows = [(None, item), (None, "clean and short"), (1, item), (1, "another clean text"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_contaminated(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
