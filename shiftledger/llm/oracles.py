@@ -81,5 +81,24 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target,
   size * (floor(rate) + (draw < rate - floor(rate))::INTEGER)::BIGINT AS taken
 FROM rated
+""",
+    "op13_lines": """
+WITH split AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+  FROM split
+), common AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT k.*, c.key IS NOT NULL AND c.keeper <> k.doc_id AS gone FROM keyed k LEFT JOIN common c USING (key)
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
 """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.llm import debruijn, decontaminate, mixing, neighbours, simhash, suffixes, surrogates, token_ids, toxicity, warc
+from shiftledger.llm import debruijn, decontaminate, lines, mixing, neighbours, simhash, suffixes, surrogates, token_ids, toxicity, warc
 
 #: Where the tokenizer of the token-id query lies; None: the file the package names.
 TOKENIZER: str | None = None
@@ -92,6 +92,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.without_common_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_debruijn": op2_debruijn,
@@ -103,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffixes": op8_suffixes,
     "op9_token_ids": op9_token_ids,
     "op10_mixing": op10_mixing,
+    "op13_lines": op13_lines,
 }
