@@ -63,7 +63,8 @@ def dropped_positions(
     placed = _placed_lines(rows, min_chars)
     often = placed.groupBy(_HASH[0]).agg(F.count(F.lit(1)).alias("found"))
     often = often.filter(F.col("found") >= min_documents).select(_HASH[0])
-    repeated = written(placed.join(often, _HASH[0]), "repeated_lines")
+    # read back, so that the join has an exchange of its own, whose hot partitions can be split
+    repeated = written(placed.join(written(often, "frequent_lines"), _HASH[0]), "repeated_lines")
     holders = repeated.groupBy(*_HASH, "doc_id").agg(F.count(F.lit(1)).alias("found"))
     common = holders.groupBy(*_HASH).agg(
         F.count(F.lit(1)).alias("documents"), F.max("doc_id").alias("keeper")
