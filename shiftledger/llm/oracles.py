@@ -4,6 +4,21 @@ from __future__ import annotations
 
 from shiftledger.llm.mixing import MAX_RATE, SEED, WEIGHTS
 
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    bits = "list_reduce(range(8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, byte))"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ord(substr({text}, i, 1))::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda crc, byte: {bits}, 4294967295::BIGINT), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value} END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
 ORACLES: dict[str, str] = {
     "op1_warc": """
 WITH payloads AS (
@@ -81,6 +96,55 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target,
   size * (floor(rate) + (draw < rate - floor(rate))::INTEGER)::BIGINT AS taken
 FROM rated
+""",
+    "op11_merkle": f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf("n_chars")} AS leaf, {_leaf("(n_chars::HUGEINT + 1)")} AS tampered,
+    coalesce({_crc32("doc_id::VARCHAR")} % 7 = 0, false) AND n_chars IS NOT NULL AS chosen
+  FROM documents
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+    count(*) OVER (PARTITION BY lang) AS size
+  FROM leaves
+), nodes AS (
+  SELECT tree, 0 AS level, place, size, leaf AS digest FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 2, (size + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+  FROM nodes WHERE size > 1 GROUP BY tree, level, place // 2, size
+), subroots AS (
+  SELECT tree, level AS height, digest FROM nodes WHERE size = 1
+), top AS (
+  SELECT 0 AS level, tree AS place, (SELECT count(*) FROM subroots) AS size, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 2, (size + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+  FROM top WHERE size > 1 GROUP BY level, place // 2, size
+), steps AS (
+  -- every level of every leaf: its sibling, and on which side
+  SELECT p.tree, p.place, n.level, n.digest AS sibling, n.place < (p.place >> n.level::BIGINT) AS is_left
+  FROM placed p JOIN nodes n ON n.tree = p.tree AND n.place = xor(p.place >> n.level::BIGINT, 1)
+  UNION ALL
+  SELECT p.tree, p.place, s.height + t.level, t.digest, t.place < (p.tree >> t.level::BIGINT)
+  FROM placed p JOIN subroots s ON s.tree = p.tree JOIN top t ON t.place = xor(p.tree >> t.level::BIGINT, 1)
+), heights AS (
+  SELECT tree, height + (SELECT max(level) FROM top) AS height, digest AS subroot FROM subroots
+), folds AS (
+  SELECT p.tree, place, 0::BIGINT AS level, CASE WHEN chosen THEN tampered ELSE leaf END AS digest, height
+  FROM placed p JOIN heights h ON h.tree = p.tree
+  UNION ALL
+  SELECT f.tree, f.place, f.level + 1, sha256(CASE
+    WHEN s.sibling IS NULL THEN f.digest WHEN s.is_left THEN s.sibling || f.digest ELSE f.digest || s.sibling END), f.height
+  FROM folds f LEFT JOIN steps s ON s.tree = f.tree AND s.place = f.place AND s.level = f.level
+  WHERE f.level < f.height
+), proofs AS (
+  SELECT tree, place, string_agg(sibling, '' ORDER BY level) AS proof FROM steps GROUP BY tree, place
+)
+SELECT p.doc_id, p.leaf, h.subroot, r.digest AS root, sha256(coalesce(o.proof, '')) AS proof_sha256,
+  f.digest AS folded_root, f.digest = r.digest AS verified
+FROM placed p JOIN heights h ON h.tree = p.tree
+JOIN folds f ON f.tree = p.tree AND f.place = p.place AND f.level = f.height
+LEFT JOIN proofs o ON o.tree = p.tree AND o.place = p.place
+CROSS JOIN (SELECT digest FROM top WHERE size = 1) r
 """,
     "op13_lines": """
 WITH split AS (
