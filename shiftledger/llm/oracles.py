@@ -145,6 +145,49 @@ FROM placed p JOIN heights h ON h.tree = p.tree
 JOIN folds f ON f.tree = p.tree AND f.place = p.place AND f.level = f.height
 LEFT JOIN proofs o ON o.tree = p.tree AND o.place = p.place
 CROSS JOIN (SELECT digest FROM top WHERE size = 1) r
+""",
+    "op12_prefix_trie": f"""
+WITH RECURSIVE placed AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, {_crc32("conv_id::VARCHAR")} % 4 AS lent FROM placed GROUP BY conv_id
+), joined AS (
+  SELECT i.conv_id, 0 AS part, p.place, p.role, p.text
+  FROM ids i JOIN placed p ON p.conv_id = i.conv_id - i.conv_id % 20 AND p.place <= i.lent
+  UNION ALL
+  SELECT i.conv_id, 1, p.place, p.role, p.text FROM ids i JOIN placed p ON p.conv_id = i.conv_id AND p.place > i.lent
+), turns AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth FROM joined
+), prefixes AS (
+  SELECT conv_id, 0::BIGINT AS depth, '' AS key, 0::BIGINT AS words FROM ids
+  UNION ALL
+  SELECT p.conv_id, t.depth, sha256(p.key || strlen(t.role) || ':' || t.role || t.text),
+    len(regexp_extract_all(t.text, '[^\\x20\\x09-\\x0D]+'))
+  FROM prefixes p JOIN turns t ON t.conv_id = p.conv_id AND t.depth = p.depth + 1
+), lengths AS (
+  SELECT conv_id, max(depth) AS size FROM prefixes GROUP BY conv_id
+), nodes AS (
+  SELECT p.key, p.depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, min(words) AS words,
+    sha256(coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (l.size = p.depth), '')) AS ends_sha256
+  FROM prefixes p JOIN lengths l USING (conv_id) GROUP BY p.key, p.depth
+), above AS (
+  -- every node with each node on the way to the root
+  SELECT n.key, a.key AS top, a.depth AS top_depth FROM nodes n JOIN prefixes a ON a.conv_id = n.conv_id AND a.depth <= n.depth
+), parents AS (
+  SELECT a.key, p.conv_id AS parent_conv_id, p.key AS parent
+  FROM nodes n JOIN above a ON a.key = n.key AND a.top_depth = n.depth - 1 JOIN nodes p ON p.key = a.top
+), children AS (
+  SELECT parent AS key, count(*) AS n_children FROM parents GROUP BY parent
+), subtrees AS (
+  SELECT a.top AS key, count(*) FILTER (c.key IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved_tokens
+  FROM above a JOIN nodes n ON n.key = a.key LEFT JOIN children c ON c.key = n.key GROUP BY a.top
+)
+SELECT n.conv_id, n.depth, parent_conv_id, n.n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM nodes n JOIN subtrees s ON s.key = n.key
+LEFT JOIN parents p ON p.key = n.key LEFT JOIN children c ON c.key = n.key
 """,
     "op13_lines": """
 WITH split AS (

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.llm import debruijn, decontaminate, lines, merkle, mixing, neighbours, simhash, suffixes, surrogates, token_ids, toxicity, warc
+from shiftledger.llm import (
+    debruijn,
+    decontaminate,
+    lines,
+    merkle,
+    mixing,
+    neighbours,
+    prefix_trie,
+    simhash,
+    suffixes,
+    surrogates,
+    token_ids,
+    toxicity,
+    warc,
+)
 
 #: Where the tokenizer of the token-id query lies; None: the file the package names.
 TOKENIZER: str | None = None
@@ -96,6 +110,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_documents(_table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt_conversations(_table(spark, sf_dir, "conversations")))
+
+
 def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.without_common_lines(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -113,5 +131,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_ids": op9_token_ids,
     "op10_mixing": op10_mixing,
     "op11_merkle": op11_merkle,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_lines": op13_lines,
 }
