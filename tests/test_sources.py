@@ -1,6 +1,7 @@
 """Readers, writers and the command line."""
 
 import csv
+import os
 from datetime import datetime
 from decimal import Decimal
 from pathlib import Path
@@ -14,7 +15,9 @@ from shiftledger.operators.activity import event_intervals
 from shiftledger.operators.labels import DETAIL_LABELS, SUMMARY_LABELS, labeled
 from shiftledger.operators.rollup import MEMBER
 from shiftledger.sources.schemas import RELATION_COLUMNS, RELATIONS, SCHEMAS
-from shiftledger.sources.sinks import export_csv, read_report, write_days
+from shiftledger.sources import sinks
+from shiftledger.sources.sinks import clear_report, export_csv, read_report, write_days
+from shiftledger.sources.storage import Storage
 from shiftledger.sources.tables import conform, decimals_as_double, slice_predicates
 from tests.build import event, make_tables, person, work
 
@@ -267,3 +270,95 @@ def test_stored_report_reads_back_by_day(spark, tables, tmp_path):
     assert back.columns == report.columns
     assert rows_of(back) == rows_of(report.filter(F.col("day") == NEXT_DAY))
     assert "PartitionFilters: [isnotnull(Data" in plan_of(back)
+
+
+def days_of(spark, rows):
+    return spark.createDataFrame(rows, "d string, n int").selectExpr("cast(d as date) as Data", "n")
+
+
+def stored_rows(spark, path):
+    read = read_report(spark, path, {"day": "Data", "n": "n"}, "2024-01-01", "2024-12-31")
+    return sorted((str(r["day"]), r["n"]) for r in read.collect())
+
+
+@pytest.mark.parametrize("step", ["_publish", "_remove"])
+def test_a_run_that_dies_leaves_a_report(spark, tmp_path, monkeypatch, step):
+    """Before the commit the old one, after it the new one, whatever lies around."""
+    path = str(tmp_path / "r")
+    write_days(days_of(spark, [(DAY, 1), (NEXT_DAY, 2)]), path)
+    with monkeypatch.context() as patched:
+        patched.setattr(sinks, step, lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError, match="died"):
+            write_days(days_of(spark, [(DAY, 3)]), path)
+    expected = [(DAY, 1 if step == "_publish" else 3), (NEXT_DAY, 2)]
+    assert stored_rows(spark, path) == expected
+    assert len(clear_report(spark, path)) == 1 and clear_report(spark, path) == []
+    assert stored_rows(spark, path) == expected
+    write_days(days_of(spark, [(DAY, 4)]), path)
+    assert stored_rows(spark, path) == [(DAY, 4), (NEXT_DAY, 2)]
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_a_commit_cut_short_does_not_count(spark, tmp_path):
+    path = str(tmp_path / "r")
+    write_days(days_of(spark, [(DAY, 1)]), path)
+    Storage(spark, path).create("_commits/000000000002.json", '{"runs": {')
+    assert stored_rows(spark, path) == [(DAY, 1)]
+    write_days(days_of(spark, [(DAY, 2)]), path)
+    assert stored_rows(spark, path) == [(DAY, 2)]
+
+
+def test_commits_of_two_runs_are_both_kept(spark, tmp_path, monkeypatch):
+    """A run that commits between another's reading and commit is built upon."""
+    path, create, other = str(tmp_path / "r"), Storage.create, []
+
+    def late(self, name, text):
+        if not other:
+            other.append(True)
+            write_days(days_of(spark, [(NEXT_DAY, 2)]), path)
+        return create(self, name, text)
+
+    monkeypatch.setattr(Storage, "create", late)
+    write_days(days_of(spark, [(DAY, 1)]), path)
+    assert stored_rows(spark, path) == [(DAY, 1), (NEXT_DAY, 2)]
+
+
+def test_earlier_runs_can_stay_for_readers(spark, tmp_path):
+    path = str(tmp_path / "r")
+    write_days(days_of(spark, [(DAY, 1)]), path)
+    reader = read_report(spark, path, {"day": "Data", "n": "n"}, DAY, DAY)
+    write_days(days_of(spark, [(DAY, 2)]), path, clear=False)
+    assert [r["n"] for r in reader.collect()] == [1]
+    assert stored_rows(spark, path) == [(DAY, 2)]
+
+
+def test_paths_are_sparks_own(spark, tmp_path):
+    """A relative path, and a scheme that only Spark's file systems know."""
+    settings = spark._jsc.hadoopConfiguration()
+    settings.set("fs.viewfs.mounttable.ledger.link./reports", f"file://{tmp_path}")
+    relative = os.path.relpath(tmp_path / "relative")
+    for path in (relative, "viewfs://ledger/reports/r", f"file:{tmp_path}/plain"):
+        write_days(days_of(spark, [(DAY, 1), (NEXT_DAY, 2)]), path)
+        write_days(days_of(spark, [(DAY, 3)]), path, period=(DAY, NEXT_DAY))
+        assert stored_rows(spark, path) == [(DAY, 3)]
+        assert len(spark.read.parquet(path).inputFiles()) == 1
+
+
+def test_no_report_and_no_days(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        stored_rows(spark, str(tmp_path / "none"))
+    write_days(days_of(spark, []), str(tmp_path / "empty"))
+    assert stored_rows(spark, str(tmp_path / "empty")) == []
+
+
+def test_a_row_without_a_day_is_stored(spark, tmp_path):
+    path = str(tmp_path / "r")
+    write_days(days_of(spark, [(None, 1), (DAY, 2)]), path)
+    write_days(days_of(spark, [(DAY, 3)]), path, period=(DAY, DAY))
+    assert sorted(r["n"] for r in spark.read.parquet(path).collect()) == [1, 3]
+
+
+def test_one_file_keeps_the_order_and_the_tasks(spark, tmp_path):
+    df = spark.range(1000, numPartitions=7).selectExpr("cast((id * 37) % 1000 as string) a").orderBy("a")
+    (part,) = Path(export_csv(df, str(tmp_path))).glob("*.csv")
+    assert part.read_text().split() == ["a", *sorted(map(str, range(1000)))]
