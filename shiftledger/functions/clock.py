@@ -60,10 +60,6 @@ def minute_of_day(ts: Column) -> Column:
     return F.hour(ts) * 60 + F.minute(ts)
 
 
-def second_of_day(ts: Column) -> Column:
-    return minute_of_day(ts) * 60 + F.second(ts)
-
-
 def _two_digits(number: Column) -> Column:
     return F.lpad(number.cast("string"), 2, "0")
 

@@ -1,16 +1,18 @@
 """The next event of the same employee on the same day.
 
-``next_event`` is a ``lead`` over (employee, day) ordered by time, event id and
-event type.  A window keeps one group in one task, which is wrong for an
+``next_event`` is a ``lead`` over (employee, day, slice) ordered by time, event
+id and event type.  A window keeps one group in one task, which is wrong for an
 employee-day that holds a large share of all events (a shared badge, an event
 delivered over and over).  So the groups are counted first: events per hash
 bucket of (employee, day), which reads two columns and yields at most
 ``BUCKETS`` rows; then, within buckets above ``HOT_ROWS``, per employee-day.
 
 * No employee-day is above ``HOT_ROWS``: the window alone, one shuffle.
-* Some are: their events take ``_successors_by_slot``, which never holds more in
-  one group than the distinct microseconds of a second, or the seconds of a day.
-  All other events still take the window.
+* Some are: the same count samples their distinct events by hash, and every so
+  many of the sample in order bound a slice.  Their copies are collapsed before
+  the shuffle, and each event finds its slice by a binary search of the
+  bounds.  All events still share one shuffle and one window; the last event of a
+  slice is followed by the first of the next, a small table of one row a slice.
 
 The limit does not depend on the data, and both ways give the same rows.
 """
@@ -21,10 +23,11 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftledger.functions.clock import calendar_day, second_of_day
+from shiftledger.functions.clock import calendar_day
 from shiftledger.operators.joins import left_join_null_safe
 from shiftledger.session import ensure_checkpoint_dir
 
@@ -33,8 +36,12 @@ BUCKETS = 65_536
 HOT_ROWS = 1_000_000
 #: Hot employee-days are broadcast up to this many, and joined by Spark's choice beyond.
 BROADCAST_KEYS = 100_000
+#: Events sampled for a slice of a hot employee-day.
+SAMPLES = 32
 
 _EVENT = ["employee_id", "day", "event_ts", "event_id", "event_type"]
+_ORDER = _EVENT[2:]
+_SLICE = ["employee_id", "day", "slice"]
 
 
 def _bucket() -> Column:
@@ -43,9 +50,11 @@ def _bucket() -> Column:
 
 @dataclass(frozen=True)
 class HotDays:
-    """Employee-days above the limit as a table, or None if there are none."""
+    """Employee-days above the limit as a table with the bounds of their slices, or None if there are none."""
 
     keys: DataFrame | None
+    #: The most bounds of an employee-day.
+    bounds: int = 0
 
 
 def hot_buckets(dated: DataFrame, hot_rows: int) -> list[int]:
@@ -54,9 +63,18 @@ def hot_buckets(dated: DataFrame, hot_rows: int) -> list[int]:
     return counts.filter(F.col("rows") > hot_rows).agg(F.collect_list("bucket")).first()[0]
 
 
+def _bounds(hot_rows: int) -> Column:
+    """Of the distinct events of a group, sampled by hash, the first of every slice but the first."""
+    every = max(1, hot_rows // SAMPLES)
+    step = SAMPLES if every > 1 else max(1, hot_rows)
+    sampled = F.pmod(F.xxhash64(*_ORDER), F.lit(every)) == 0
+    in_order = F.sort_array(F.collect_set(F.when(sampled, F.struct(*_ORDER))))
+    return F.filter(in_order, lambda _, place: (place > 0) & (place % step == 0))
+
+
 def hot_days(events: DataFrame, hot_rows: int = HOT_ROWS) -> HotDays:
     """Count, and find the employee-days above the limit.  Runs a job, and a second if a bucket is."""
-    dated = events.select("employee_id", calendar_day(F.col("event_ts")).alias("day"))
+    dated = events.withColumn("day", calendar_day(F.col("event_ts"))).select(*_EVENT)
     buckets = hot_buckets(dated, hot_rows)
     if not buckets:
         return HotDays(None)
@@ -67,93 +85,72 @@ def hot_days(events: DataFrame, hot_rows: int = HOT_ROWS) -> HotDays:
         dated.withColumn("bucket", _bucket())
         .join(F.broadcast(overfull), "bucket", "left_semi")
         .groupBy("employee_id", "day")
-        .count()
-        .filter(F.col("count") > hot_rows)
-        .select(F.col("employee_id").alias("hot_employee"), F.col("day").alias("hot_day"))
+        .agg(F.count(F.lit(1)).alias("rows"), _bounds(hot_rows).alias("bounds"))
+        .filter(F.col("rows") > hot_rows)
+        .select(F.col("employee_id").alias("hot_employee"), F.col("day").alias("hot_day"), "bounds")
     )
     found = keys.limit(BROADCAST_KEYS + 1).toArrow()
     if found.num_rows == 0:
         return HotDays(None)
     if found.num_rows <= BROADCAST_KEYS:
-        return HotDays(F.broadcast(spark.createDataFrame(found)))
+        most = pc.max(pc.list_value_length(found.column("bounds"))).as_py()
+        return HotDays(F.broadcast(spark.createDataFrame(found)), most)
     ensure_checkpoint_dir(spark)
-    return HotDays(keys.checkpoint())
+    keys = keys.checkpoint()
+    return HotDays(keys, keys.agg(F.max(F.size("bounds"))).first()[0])
 
 
-def _successors_by_window(events: DataFrame) -> DataFrame:
-    in_order = Window.partitionBy("employee_id", "day").orderBy(
-        "event_ts", "event_id", "event_type"
-    )
-    same_as_previous = [
-        F.lag(name).over(in_order).eqNullSafe(F.col(name))
-        for name in ("event_ts", "event_id", "event_type")
-    ]
+def _by_window(events: DataFrame, group: list[str]) -> DataFrame:
+    in_order = Window.partitionBy(*group).orderBy(*_ORDER)
+    same_as_previous = [F.lag(name).over(in_order).eqNullSafe(F.col(name)) for name in _ORDER]
     return events.select(
         *_EVENT,
+        *[name for name in group if name not in _EVENT],
         F.lead("event_ts").over(in_order).alias("next_ts"),
         reduce(lambda a, b: a & b, same_as_previous).alias("is_copy"),
     )
 
 
-def _successors_by_slot(events: DataFrame) -> DataFrame:
-    """As ``_successors_by_window``, without a group that grows with the data.
+def _slice_of(event: Column, bounds: Column, most: int) -> Column:
+    """How many bounds, ``most`` of them at most, are not above the event; by binary search."""
+    steps = [1 << bit for bit in reversed(range(most.bit_length()))]
+    if not steps:
+        return F.lit(0)
 
-    Of all events at one instant only the last has a later successor; the
-    others are followed at the same instant.  So only distinct instants need
-    ordering: within each second, then across the seconds of a day.
-    """
-    copies = events.groupBy(*_EVENT).agg(F.count(F.lit(1)).alias("copies"))
-    # ``copies`` and ``last`` go through every branch below, although not every
-    # branch needs them: branches that read the same columns share one shuffle.
-    last_event = F.max(F.struct("event_id", "event_type", "copies"))
-    instants = (
-        copies.groupBy("employee_id", "day", "event_ts")
-        .agg(last_event.alias("last"))
-        .withColumn("slot", second_of_day(F.col("event_ts")))
-    )
-    slot = ["employee_id", "day", "slot"]
-    within_slot = Window.partitionBy(*slot).orderBy("event_ts")
-    followed_in_slot = instants.withColumn("next_in_slot", F.lead("event_ts").over(within_slot))
-
-    across_slots = Window.partitionBy("employee_id", "day").orderBy("slot")
-    first_of_slot = F.min(F.struct("event_ts", "last"))
-    later = (
-        instants.groupBy(*slot)
-        .agg(first_of_slot.alias("first"))
-        .withColumn("next_slot_ts", F.lead("first.event_ts").over(across_slots))
-        .drop("first")
-    )
-    last_events = left_join_null_safe(followed_in_slot, later, slot).select(
-        "employee_id",
-        "day",
-        "event_ts",
-        F.col("last.event_id").alias("event_id"),
-        F.col("last.event_type").alias("event_type"),
-        F.coalesce("next_in_slot", "next_slot_ts").alias("later_ts"),
-        F.lit(True).alias("is_last"),
-    )
+    def further(place: Column, step: Column) -> Column:
+        # a step too far reads null, and stays
+        return F.when(F.get(bounds, place + step - 1) <= event, place + step).otherwise(place)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further)
 
-    # Both sides are unique on the whole event, so this join has no hot key.
-    joined = left_join_null_safe(copies, last_events, _EVENT)
-
-    # The event type passes through the explode, so that a later filter on it
-    # stays above and ``copies`` is the same on both sides of the join.
-    def successor(next_ts: Column, is_copy: bool) -> Column:
-        return F.struct(
-            next_ts.alias("next_ts"), F.lit(is_copy).alias("is_copy"), F.col("event_type")
-        )
-
-    here = F.col("event_ts")
-    repeated = F.array(successor(here, False), successor(F.col("later_ts"), True))
-    followed = (
-        F.when(F.col("is_last") & (F.col("copies") > 1), repeated)
-        .when(F.col("is_last"), F.array(successor(F.col("later_ts"), False)))
-        .otherwise(F.array(successor(here, False)))
+
+def _same_day(hot: DataFrame) -> Column:
+    return F.col("employee_id").eqNullSafe(hot["hot_employee"]) & F.col("day").eqNullSafe(
+        hot["hot_day"]
     )
-    kept = _EVENT[:-1]
-    return joined.select(*kept, F.explode(followed).alias("successor")).select(
-        *kept, "successor.event_type", "successor.next_ts", "successor.is_copy"
+
+
+def _successors_by_slice(dated: DataFrame, days: HotDays) -> DataFrame:
+    """As the window over (employee, day), with hot employee-days in slices."""
+    hot = days.keys
+    ordinary = dated.join(hot, _same_day(hot), "left_anti")
+    distinct = dated.join(hot, _same_day(hot), "left_semi").groupBy(*_EVENT)
+    # of equal events the first and the last, of which only the last is followed by another
+    copies = distinct.agg(F.least(F.count(F.lit(1)), F.lit(2)).cast("int").alias("copies"))
+    event = F.struct(*_ORDER)
+    sliced = copies.join(hot, _same_day(hot)).withColumn(
+        "slice", _slice_of(event, F.col("bounds"), days.bounds) + 1
     )
+    repeated = sliced.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+    everything = ordinary.withColumn("slice", F.lit(0)).unionByName(repeated.select(*_EVENT, "slice"))
+    followed = _by_window(everything, _SLICE)
+
+    # with the copies, as branches that read the same columns share one shuffle
+    first = sliced.groupBy(*_SLICE).agg(F.min(F.struct("event_ts", "copies")).alias("first"))
+    along = Window.partitionBy("employee_id", "day").orderBy("slice")
+    later = first.select(*_SLICE, F.lead("first.event_ts").over(along).alias("later_ts"))
+    joined = left_join_null_safe(followed, later, _SLICE)
+    return joined.select(*_EVENT, F.coalesce("next_ts", "later_ts").alias("next_ts"), "is_copy")
 
 
 def successors(
@@ -173,13 +170,8 @@ def successors(
     if hot is None:
         hot = hot_days(events, hot_rows) if split_hot else HotDays(None)
     if hot.keys is None:
-        return _successors_by_window(dated)
-    same = F.col("employee_id").eqNullSafe(F.col("hot_employee")) & F.col("day").eqNullSafe(
-        F.col("hot_day")
-    )
-    ordinary = dated.join(hot.keys, same, "left_anti")
-    overfull = dated.join(hot.keys, same, "left_semi")
-    return _successors_by_window(ordinary).unionByName(_successors_by_slot(overfull))
+        return _by_window(dated, ["employee_id", "day"])
+    return _successors_by_slice(dated, hot)
 
 
 def drop_repeats(rows: DataFrame, start: str, stop: str) -> DataFrame:

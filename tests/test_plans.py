@@ -1,12 +1,15 @@
 """Physical plans: shuffles, broadcasts and the handling of skew."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from catalog.queries import AS_OF, FROM_DAY, TO_DAY
 from shiftledger import detail_report, summary_report
 from shiftledger.operators.activity import activity, event_intervals
 from shiftledger.operators.filters import in_event_window
-from shiftledger.operators.successors import BUCKETS, hot_buckets, hot_days, next_event, successors
+from shiftledger.operators.successors import (
+    BUCKETS, _same_day, _slice_of, hot_buckets, hot_days, next_event, successors,
+)
 from shiftledger.plans.reports import employee_day_rows
 from shiftledger.sources.sample import SampleTables
 from tests.build import event, make_tables, person, ts
@@ -211,3 +214,52 @@ def test_split_events_are_read_once(tables):
         assert plan.count("FileScan parquet") == 2
         assert "LocalTableScan" in plan and "ExistingRDD" not in plan
         assert plan.count("ReusedExchange") >= 2
+
+
+def hot_events(spark, rows=60_000):
+    """Two thirds in one employee-day: few instants with many events each, copies, and null ids and types."""
+    moment = "timestamp_ntz '2024-01-05 08:00:00' + make_dt_interval(0, 0, 0, cast(pmod(hash(id), 500) as decimal(18,6)))"
+    return spark.range(rows).selectExpr(
+        "if(id % 7 = 0, null, if(id % 11 = 0, 5L, id)) as event_id",
+        f"if(id % 11 = 0, timestamp_ntz '2024-01-05 09:00:00', {moment}) as event_ts",
+        "if(id % 13 = 0, null, cast(id % 5 as int)) as event_type",
+        "if(id % 3 < 2, 1L, if(id % 3 = 2 and id % 17 = 0, null, id % 400)) as employee_id",
+    )
+
+
+def test_a_hot_day_is_cut_into_even_slices(spark):
+    events = hot_events(spark)
+    found = hot_days(events, 1000)
+    hot = found.keys
+    dated = events.withColumn("day", F.col("event_ts").cast("date")).distinct()
+    sizes = (
+        dated.join(hot, _same_day(hot))
+        .withColumn("slice", _slice_of(F.struct("event_ts", "event_id", "event_type"), F.col("bounds"), found.bounds))
+        .groupBy("employee_id", "day", "slice")
+        .count()
+        .collect()
+    )
+    assert len(sizes) > 20
+    assert max(row["count"] for row in sizes) < 2000
+
+
+@pytest.mark.parametrize("hot_rows", [0, 1, 40, 1000])
+def test_slices_give_the_rows_of_the_window(spark, hot_rows):
+    events = hot_events(spark, 6_000)
+    columns = ["employee_id", "day", "event_ts", "event_id", "event_type", "next_ts"]
+
+    def rows(df):
+        return sorted(map(str, df.select(*columns).collect()))
+
+    plain = rows(next_event(events, split_hot=False))
+    assert rows(next_event(events, hot_rows=hot_rows)) == plain
+    assert len(plain) < 6_000
+
+
+def test_slices_share_one_shuffle_and_one_window(tables):
+    events = in_event_window(tables.clock_events, FROM_DAY, TO_DAY, "22:59:59")
+    plan = initial_plan(successors(events, hot_rows=3))
+    # the copies before it, the events themselves, and what orders the first of each slice
+    whole = [line for line in plan.splitlines() if "Window [" in line and "event_ts" in line]
+    assert len([line for line in whole if "next_ts" in line]) == 1
+    assert plan.count("hashpartitioning(employee_id#") <= 6
