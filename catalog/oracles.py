@@ -443,6 +443,26 @@ ORACLES: dict[str, str] = {
         "AND day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
     ),
 }
+_MULTI = "department = 'MACHINERY' AND verdict = '✔️' AND shift_id = 2"
+ORACLES |= {
+    "facet_values_indexed": _on(
+        _SUMMARY,
+        f"SELECT column_name, value, count(*) AS found FROM ({_facets().replace(' UNION ', ' UNION ALL ')}) "
+        "GROUP BY column_name, value",
+    ),
+    "facet_count_indexed": _on(
+        _SUMMARY,
+        f"SELECT count(*) AS found FROM summary WHERE {_MULTI} "
+        "AND day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
+    ),
+    "facet_filter_indexed": ORACLES["facet_filter_multi"],
+    "table_search_indexed": ORACLES["table_search"],
+    "table_page_far": _on(
+        _SUMMARY,
+        f"SELECT * FROM summary ORDER BY lower(coalesce(full_name, '')) DESC, {_ALL_FIRST} "
+        "LIMIT 100 OFFSET 1400",
+    ),
+}
 
 
 def _hard(query: str) -> str:

@@ -32,6 +32,7 @@ from shiftledger.plans.reports import (
 )
 from shiftledger.rules import DEFAULT_RULES, Rules
 from shiftledger.session import scratch_folder
+from shiftledger.sources.report_index import StoredReport
 from shiftledger.sources.sample import HardSampleTables, SampleTables
 from shiftledger.sources.sinks import read_report, write_days
 from shiftledger.sources.tables import Tables, decimals_as_double
@@ -41,6 +42,8 @@ TO_DAY = "2024-01-30"
 AS_OF = "2024-02-01 12:34:56"
 PERIOD = (FROM_DAY, TO_DAY)
 REPORT = (FROM_DAY, TO_DAY, AS_OF)
+FACETS = {"department": "MACHINERY", "verdict": "✔️", "shift_id": "2"}
+SEARCH = 'agency "poniżej 8h" b1'
 #: Sends every event through the split of overfull groups.
 ALL_HOT = {"hot_rows": 0}
 
@@ -248,12 +251,13 @@ _ON_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     # browsing
     "facet_values": lambda t: _browse(browse.facet_values, t),
     "facet_filter": lambda t: _browse(browse.facet_filter, t, {"department": "machinery"}),
-    "facet_filter_multi": lambda t: _browse(
-        browse.facet_filter, t, {"department": "MACHINERY", "verdict": "✔️", "shift_id": "2"}
-    ),
-    "table_search": lambda t: _browse(browse.table_search, t, 'agency "poniżej 8h" b1'),
+    "facet_filter_multi": lambda t: _browse(browse.facet_filter, t, FACETS),
+    "table_search": lambda t: _browse(browse.table_search, t, SEARCH),
     "table_sort": lambda t: _browse(browse.table_sort, t, "full_name", ascending=False),
     "table_page": lambda t: _browse(browse.table_page, t, page=3, size=25),
+    "table_page_far": lambda t: _browse(
+        browse.table_page, t, page=15, size=100, column="full_name", ascending=False
+    ),
 }
 
 #: On the sample with repeats and gaps.
@@ -281,14 +285,36 @@ def _table_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return browse.store_sorted(report, path, ascending=False).page(page=4, size=300)
 
 
-def _facet_filter_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored_summary(spark: SparkSession, sf_dir: str) -> str:
     report = labeled(summary_report(SampleTables(spark, sf_dir), *REPORT), SUMMARY_LABELS)
     path = _scratch(spark, "summary")
     write_days(report, path, period=PERIOD)
+    return path
+
+
+def _facet_filter_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _stored_summary(spark, sf_dir)
     stored = read_report(spark, path, SUMMARY_LABELS, "2024-01-05", "2024-01-20")
     return browse.facet_filter(stored, {"department": "machinery"})
 
 
+def _on_index(use: Callable[[StoredReport], DataFrame]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stored = StoredReport(spark, _stored_summary(spark, sf_dir), SUMMARY_LABELS)
+        stored.index()
+        return use(stored)
+
+    return query
+
+
+_ON_INDEX: dict[str, Callable[[StoredReport], DataFrame]] = {
+    "facet_values_indexed": lambda s: s.facet_values(*PERIOD),
+    "facet_count_indexed": lambda s: s.count(FACETS, "2024-01-05", "2024-01-20"),
+    "facet_filter_indexed": lambda s: s.filter(FACETS, *PERIOD),
+    "table_search_indexed": lambda s: s.search(SEARCH, *PERIOD),
+}
+
+
 def _on_sample(query: Callable[[Tables], DataFrame], sample=SampleTables) -> Query:
     return lambda spark, sf_dir: query(sample(spark, sf_dir))
 
@@ -297,4 +323,5 @@ QUERIES: dict[str, Query] = {name: _on_sample(query) for name, query in _ON_TABL
 QUERIES |= {name: _on_sample(query, HardSampleTables) for name, query in _ON_HARD_TABLES.items()}
 QUERIES["table_page_deep"] = _table_page_deep
 QUERIES["facet_filter_stored"] = _facet_filter_stored
+QUERIES |= {name: _on_index(use) for name, use in _ON_INDEX.items()}
 QUERIES["decimal_to_double"] = _decimals

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftledger.functions.text import display_text
+from shiftledger.operators.paging import RankedRows
 
-#: Pages that end beyond this many rows are not taken by top-k.
+#: Pages that end beyond this many rows are selected by rank.
 TOP_ROWS = 1_000
 _PART, _ROW = "__part", "__row"
 
@@ -24,14 +25,16 @@ def _cell(name: str) -> Column:
     return display_text(F.col(f"`{name}`"))
 
 
+def all_cells(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """column_name and value of every cell as text; columns to ``keep`` stand beside each."""
+    names = [name for name in df.columns if name not in keep]
+    cells = df.select(*keep, *[_cell(name).alias(name) for name in names])
+    return cells.unpivot(list(keep), [f"`{name}`" for name in names], "column_name", "value")
+
+
 def facet_values(df: DataFrame) -> DataFrame:
     """Sorted distinct texts of every column."""
-    cells = df.select(*[_cell(name).alias(name) for name in df.columns])
-    return (
-        cells.unpivot([], [f"`{name}`" for name in df.columns], "column_name", "value")
-        .distinct()
-        .orderBy("column_name", "value")
-    )
+    return all_cells(df).distinct().orderBy("column_name", "value")
 
 
 def facet_filter(df: DataFrame, choices: dict[str, str]) -> DataFrame:
@@ -42,31 +45,36 @@ def facet_filter(df: DataFrame, choices: dict[str, str]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, conditions)) if conditions else df
 
 
-def table_search(df: DataFrame, text: str) -> DataFrame:
-    """Rows that hold every word of ``text`` in some column.
-
-    A part in double quotes is searched as one phrase.
-    """
+def search_words(text: str) -> list[str]:
+    """The words of a search; a part in double quotes is one phrase."""
     words = [word.strip('"') for word in re.findall(r'"[^"]+"|[^ ]+', text)]
-    row = F.lower(F.concat_ws("  ", *[_cell(name) for name in df.columns]))
-    conditions = [F.contains(row, F.lower(F.lit(word))) for word in words if word]
+    return [word for word in words if word]
+
+
+def row_text(df: DataFrame) -> Column:
+    """All cells of a row, as a search sees them."""
+    return F.lower(F.concat_ws("  ", *[_cell(name) for name in df.columns]))
+
+
+def table_search(df: DataFrame, text: str) -> DataFrame:
+    """Rows that hold every word of ``text`` in some column."""
+    row = row_text(df)
+    conditions = [F.contains(row, F.lower(F.lit(word))) for word in search_words(text)]
     return df.filter(reduce(lambda a, b: a & b, conditions)) if conditions else df
 
 
-def _sort_key(field: T.StructField, ascending: bool) -> Column:
-    if isinstance(field.dataType, T.StringType):
-        key = F.lower(_cell(field.name))
-        return key.asc() if ascending else key.desc()
-    key = F.col(f"`{field.name}`")
-    return key.asc_nulls_first() if ascending else key.desc_nulls_last()
+def _sort_key(df: DataFrame, column: str | None) -> Column:
+    name = column or df.columns[0]
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return F.lower(_cell(name))
+    return F.col(f"`{name}`")
 
 
 def _ordering(df: DataFrame, column: str | None, ascending: bool) -> list[Column]:
     """The chosen column, then all columns as they are to settle ties."""
-    fields = {field.name: field for field in df.schema.fields}
-    chosen = fields[column or df.columns[0]]
+    key = _sort_key(df, column)
     ties = [F.col(f"`{name}`").asc_nulls_first() for name in df.columns]
-    return [_sort_key(chosen, ascending), *ties]
+    return [key.asc_nulls_first() if ascending else key.desc_nulls_last(), *ties]
 
 
 def table_sort(df: DataFrame, column: str | None = None, ascending: bool = True) -> DataFrame:
@@ -85,14 +93,17 @@ def table_page(
     column: str | None = None,
     ascending: bool = True,
 ) -> DataFrame:
-    """One page of the sorted table, within its first ``TOP_ROWS`` rows.
+    """One page of the sorted table.
 
-    A top-k: each task keeps the rows up to the end of the page.  For further
-    pages, sort the table once with ``store_sorted``.  Runs no job by itself.
+    Within the first ``TOP_ROWS`` rows a top-k: each task keeps the rows up to the
+    end of the page, and no job runs before the result is read.  A further page is
+    selected by rank, which runs two jobs over ``df`` a pass; it should be a stored
+    table.  For many such pages of one order, ``store_sorted`` sorts once.
     """
     first, end = _bounds(page, size)
     if end > TOP_ROWS:
-        raise ValueError(f"pages beyond {TOP_ROWS} rows are read from a sorted copy: store_sorted")
+        ordering = _ordering(df, column, ascending)
+        return RankedRows(df, _sort_key(df, column), ordering, ascending).page(first, size)
     return table_sort(df, column, ascending).offset(first).limit(size)
 
 

@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from shiftledger.operators.browse import (
     facet_filter,
@@ -82,8 +83,45 @@ def test_stored_page_reads_only_its_part(spark, table, tmp_path):
     plan = page._jdf.queryExecution().executedPlan().toString()
     assert "Limit" not in plan and "TakeOrdered" not in plan
     assert "PushedFilters" in plan
-    with pytest.raises(ValueError):
-        table_page(table, 11, 100)
+    assert table_page(table, 11, 100).collect() == []
+
+
+@pytest.fixture(scope="module")
+def long_table(spark, tmp_path_factory):
+    """Nulls, one text for a third of all rows, repeated rows, texts equal but for case."""
+    path = str(tmp_path_factory.mktemp("long") / "t")
+    spark.range(120_000, numPartitions=5).selectExpr(
+        "if(id % 3 = 0, 'same', if(id % 2 = 0, concat('K', id % 50), concat('k', id % 50))) a",
+        "if(id % 11 = 0, null, id % 700) n",
+        "if(id % 3 = 0 and id % 5 > 0, null, cast(date_add(date '2024-01-01', cast(id % 900 as int)) as timestamp_ntz)) t",
+        "cast(id % 13 as double) / 7 d",
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("column, ascending", [("a", True), ("a", False), ("n", True), ("n", False), ("t", False)])
+def test_far_pages_by_rank(long_table, column, ascending):
+    everything = table_sort(long_table, column, ascending).collect()
+    for page, size in ((1001, 100), (100_001, 1), (23, 1777), (1200, 100), (1201, 100)):
+        found = table_page(long_table, page, size, column, ascending)
+        assert found.collect() == everything[(page - 1) * size :][:size]
+
+
+def test_a_far_page_sorts_few_rows(long_table):
+    plan = table_page(long_table, 500, 200, "a")._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("size", [3, 40_000])
+def test_ranks_of_equal_rows_and_wide_pages(spark, size):
+    from shiftledger.operators.paging import RankedRows
+
+    df = spark.range(50_000).selectExpr("if(id < 30000, 'x', 'y') a", "if(id = 7, 1, null) b")
+    order = [F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first()]
+    everything = df.orderBy(*order).collect()
+    for first in (0, 29_998, 45_000, 49_999, 50_000):
+        found = RankedRows(df, F.col("a"), order, True).page(first, size, limit=10)
+        assert found.collect() == everything[first : first + size]
 
 
 def test_sort(table):
