@@ -14,6 +14,8 @@ from datetime import date, datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shiftledger.functions.zones import Zone, to_instant
+
 MINUTES_PER_DAY = 24 * 60
 MICROSECONDS_PER_HOUR = 3.6e9
 
@@ -81,26 +83,14 @@ def text_to_minutes(text: Column) -> Column:
     return F.get(parts, F.lit(0)).try_cast("int") * 60 + F.get(parts, F.lit(1)).try_cast("int")
 
 
-def to_instant(ts: Column, zone: str) -> Column:
-    """Wall clock of ``zone`` as UTC wall clock.
-
-    An hour that occurs twice is read as its second pass (standard time).
-    """
-    first = F.convert_timezone(F.lit(zone), F.lit("UTC"), ts)
-    second = first + F.expr("INTERVAL '1' HOUR")
-    return F.when(
-        F.convert_timezone(F.lit("UTC"), F.lit(zone), second) == ts, second
-    ).otherwise(first)
-
-
-def elapsed(start: Column, stop: Column, zone: str | None = None) -> Column:
+def elapsed(start: Column, stop: Column, zone: str | Zone | None = None) -> Column:
     """``stop - start`` as an interval: wall clock, or absolute time in ``zone``."""
     if zone is not None:
         start, stop = to_instant(start, zone), to_instant(stop, zone)
     return stop - start
 
 
-def duration_text(start: Column, stop: Column, zone: str | None = None) -> Column:
+def duration_text(start: Column, stop: Column, zone: str | Zone | None = None) -> Column:
     """Unpadded ``H:M`` of ``stop - start``; seconds and whole days are dropped."""
     span = elapsed(start, stop, zone)
     return F.concat(
@@ -110,7 +100,7 @@ def duration_text(start: Column, stop: Column, zone: str | None = None) -> Colum
     )
 
 
-def duration_hours(start: Column, stop: Column, zone: str | None = None) -> Column:
+def duration_hours(start: Column, stop: Column, zone: str | Zone | None = None) -> Column:
     """``stop - start`` in hours, rounded once, from whole microseconds."""
     seconds = elapsed(start, stop, zone).cast("interval second").cast("decimal(18,6)")
     return (seconds * 1_000_000).cast("long") / MICROSECONDS_PER_HOUR

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame
 
 from shiftledger.sources.tables import Tables
@@ -11,10 +12,14 @@ def is_broadcastable(df: DataFrame) -> bool:
     """Whether Spark's size estimate of ``df`` is within its broadcast threshold.
 
     For a file source the estimate comes from the file sizes, without a job.  A
-    source of unknown size counts as large.
+    source of unknown size counts as large, and so does any in a session that
+    does not tell its estimates.
     """
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    try:
+        estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    except (AttributeError, Py4JError):
+        return False
     return int(str(estimate)) <= threshold
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from shiftledger.functions.zones import Zone
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -21,8 +23,9 @@ class Rules:
     start_limit: str = "06:00"
     #: Least worked minutes that pass.
     min_minutes: int = 480
-    #: Measure durations as absolute time in this zone; None is wall clock.
-    zone: str | None = None
+    #: Measure durations as absolute time in this zone; None is wall clock.  A
+    #: time that occurs twice is its second pass, unless the ``Zone`` says its first.
+    zone: str | Zone | None = None
     #: Skip the two dimension joins that add no column.  They can only repeat
     #: detail rows, and only if a dimension key is not unique.
     assume_unique_dimensions: bool = False
