@@ -44,6 +44,19 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, lengthened until no column is called so, whatever the case."""
+    held = {column.lower() for column in taken}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, also those with a dot in their name."""
+    return [F.col(f"`{name.replace('`', '``')}`") for name in df.columns]
+
+
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` evaluated once, even if ``use`` repeats it for every element."""
     return F.get(F.transform(F.array(value), use), F.lit(0))

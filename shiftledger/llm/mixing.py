@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftledger.llm.common import WORD, with_position, written
+from shiftledger.llm.common import WORD, columns_of, free_name, with_position, written
 
 WEIGHTS = (5, 2, 1)
 MAX_RATE = 3
@@ -108,19 +108,22 @@ def mixed(documents: DataFrame, **options) -> DataFrame:
     sources and are never shuffled.
     """
     names = {k: options.get(k, k) for k in ("doc_id", "source")}
+    of, rate_of, copy = (free_name(documents.columns, name) for name in ("of", "rate", "copy"))
     rates = copies(documents, **options).groupBy("source").agg(
         F.first("source_size").alias("source_size"), F.first("target").alias("target")
     )
     rates = written(rates, "rates").select(
-        F.col("source").alias("__of"),
+        F.col("source").alias(of),
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
         .otherwise(0.0)
-        .alias("__rate"),
+        .alias(rate_of),
     )
     joined = documents.join(
-        rates, documents[f"`{names['source']}`"].eqNullSafe(F.col("__of")), "inner"
+        rates, documents[f"`{names['source']}`"].eqNullSafe(F.col(of)), "inner"
     )
-    whole = F.floor("__rate")
-    extra = draw(options.get("seed", SEED), F.col(f"`{names['doc_id']}`")) < F.col("__rate") - whole
-    repeated = joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), (whole + extra.cast("long")).cast("int"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in documents.columns])
+    rate = F.col(rate_of)
+    whole = F.floor(rate)
+    extra = draw(options.get("seed", SEED), F.col(f"`{names['doc_id']}`")) < rate - whole
+    times = (whole + extra.cast("long")).cast("int")
+    repeated = joined.withColumn(copy, F.explode(F.array_repeat(F.lit(1), times)))
+    return repeated.select(*columns_of(documents))

@@ -280,9 +280,14 @@ def scores(documents: DataFrame, chain: Chain, doc_id: str = "doc_id", text: str
 def kept_documents(
     documents: DataFrame, chain: Chain, category: str, threshold: float = THRESHOLD, text: str = "text"
 ) -> DataFrame:
-    """The rows of ``documents`` below the threshold, with all their columns; one pass, no shuffle."""
+    """The rows of ``documents`` below the threshold, with all their columns; one pass, no shuffle.
+
+    A null text is empty; every row is judged by itself, so repeated rows fare alike.
+    """
     position = chain.categories.index(category)
     names = documents.columns
+    # numbered columns, as a name may hold a dot
+    numbered = documents.toDF(*[f"c{n}" for n in range(len(names))])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,4 +298,4 @@ def kept_documents(
                     part = part.filter(pa.array(chain.probabilities(x)[:, position] < threshold))
                 yield part
 
-    return documents.mapInArrow(keep, documents.schema)
+    return numbered.mapInArrow(keep, numbered.schema).toDF(*names)
