@@ -275,11 +275,13 @@ def nearest_neighbours(
     merged = merged.withColumn("n", F.row_number().over(by_score)).filter(F.col("n") <= nearest)
     ids = points.select(F.col("node").alias("other"), "ids")
     others = merged.join(ids, "other").select("query", "ids", "score")
-    unit = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
-    selves = points.filter("asked").select(
-        F.col("node").alias("query"), "ids", F.coalesce(F.try_divide(square, unit * unit), F.lit(1.0)).alias("score")
-    )
+    # scaled by the largest component first, as above
+    asked_now = points.filter("asked").select(F.col("node").alias("query"), "ids", "embedding")
+    largest = F.array_max(F.transform("embedding", F.abs)).alias("largest")
+    scaled = F.transform("embedding", lambda x: x / F.col("largest")).alias("scaled")
+    square = F.aggregate("scaled", F.lit(0.0), lambda a, x: a + x * x).alias("square")
+    selves = asked_now.select("*", largest).select("query", "ids", scaled).select("query", "ids", square)
+    selves = selves.select("query", "ids", (F.col("square") / (F.sqrt("square") * F.sqrt("square"))).alias("score"))
     candidates = others.unionByName(selves).select("query", "score", F.explode("ids").alias("vec_id"))
     queries = asked.join(points.filter("asked").select("node", "embedding"), "embedding").select(
         F.col("vec_id").alias("query_id"), F.col("node").alias("query")
