@@ -5,10 +5,13 @@ on a key, the kind and the lower-cased entity, so that one entity has one
 surrogate everywhere, in the case of each occurrence.  Digits stay digits and
 letters letters of their case; separators stay; a card number that passes the
 Luhn check has a surrogate that does; an address keeps valid octets; names
-follow an honorific, and a given name keeps its gender and script.
+follow an honorific or repeat, by themselves, one that does in the same text; a
+given name keeps its gender and script, a Cyrillic surname its ending's gender.
 
 Surrogates are checked over the whole corpus: those that two entities share, or
-that are an entity of the corpus, are drawn again, until all are distinct.  Only
+that are an entity of the corpus, are drawn again, until all are distinct.  A form
+may have too few values for that, so every ``DRAWS`` draws make it one letter, digit
+or octet longer.  Only
 redrawn entities need a join; all other text is rewritten where it is read.
 
 Everything is built-in functions.
@@ -41,7 +44,10 @@ _ENDINGS = {
     ("cyrillic", "m"): ["слав", "мир", "рий", "тин", "лад", "дор", "кар", "лон"],
     ("cyrillic", "f"): ["лия", "рина", "сса", "нна", "дора", "лина", "тта", "мира"],
     ("cyrillic", "s"): ["ский", "енко", "ич", "ук", "аль", "берг", "ман", "дзе"],
+    ("cyrillic", "a"): ["ская", "цкая", "ова", "ева", "ина", "ёва", "нова", "лова"],
 }
+#: Draws of one form before it grows.
+DRAWS = 4
 
 _OPEN, _CLOSE, _ESCAPE = "﷐", "﷑", "﷒"
 _NAME = r"\p{Lu}[\p{L}'’-]{1,30}"
@@ -81,6 +87,29 @@ def _mark(kind: str, group: int) -> str:
     return f"{_OPEN}{kind}${group}{_CLOSE}"
 
 
+def _mentioned(kind: str):
+    """Names of a kind that are marked once, marked wherever they stand by themselves, not in an address."""
+    apart, entity = r"\p{L}\p{N}", f"{_OPEN}{kind}([^{_CLOSE}]*){_CLOSE}"
+
+    def mark(text: Column) -> Column:
+        named = F.array_distinct(F.regexp_extract_all(text, F.lit(entity), F.lit(1)))
+        alone = F.concat(
+            F.lit(f"({_OPEN}[^{_CLOSE}]*{_CLOSE})|(?<![{apart}'’@._%+-])("),
+            F.array_join(named, "|"),
+            F.lit(f")(?![{apart}@_%+-]|\\.[{apart}])"),
+        )
+        replaced = F.regexp_replace(text, alone, F.lit("$1" + _mark(kind, 2)))
+        return F.when(F.size(named) > 0, F.replace(replaced, F.lit(f"{_OPEN}{kind}{_CLOSE}"), F.lit(""))).otherwise(text)
+
+    return mark
+
+
+def _with_mentions(marked: Column) -> Column:
+    for kind in "MFS":
+        marked = bound(marked, _mentioned(kind))
+    return marked
+
+
 def _marked(text: Column) -> Column:
     """Entities between marks, with the letter of their kind.
 
@@ -95,7 +124,8 @@ def _marked(text: Column) -> Column:
         escaped = F.replace(escaped, F.lit(mark), F.lit(f"{_ESCAPE}{n}"))
     parts = "$1" + _mark("M", 2) + "$3" + _mark("S", 4) + "$5" + _mark("F", 6) + "$7" + _mark("S", 8) + "$9" + _mark("S", 10)
     names = F.regexp_replace(escaped, _NAMES, parts)
-    names = F.when(F.contains(names, F.lit(_OPEN)), without_empty(names)).otherwise(escaped)
+    found = bound(without_empty(names), _with_mentions)
+    names = F.when(F.contains(names, F.lit(_OPEN)), found).otherwise(escaped)
 
     def with_email(t: Column) -> Column:
         return F.when(F.contains(t, F.lit("@")), F.regexp_replace(t, _EMAIL, _mark("E", 1))).otherwise(t)
@@ -160,13 +190,16 @@ def _name(value: Column, kind: Column, digits: Column, attempt: Column) -> Colum
         syllables = F.array(*map(F.lit, _SYLLABLES[script]))
         stem = F.array_join(
             F.transform(
-                F.sequence(F.lit(0), F.lit(1) + F.floor(attempt / 4).cast("int")),
+                F.sequence(F.lit(0), F.lit(1) + F.floor(attempt / DRAWS).cast("int")),
                 lambda n: F.get(syllables, _byte(digits, n) % len(_SYLLABLES[script])),
             ),
             "",
         )
         endings = {k: F.array(*map(F.lit, e)) for (s, k), e in _ENDINGS.items() if s == script}
-        of = F.when(kind == "M", endings["m"]).when(kind == "F", endings["f"]).otherwise(endings["s"])
+        of = F.when(kind == "M", endings["m"]).when(kind == "F", endings["f"])
+        if "a" in endings:
+            of = of.when(F.regexp_like(F.lower(value), F.lit("[ая]$")), endings["a"])
+        of = of.otherwise(endings["s"])
         return F.concat(stem, F.get(of, _byte(digits, F.lit(100)) % 8))
 
     name = F.when(F.regexp_like(value, F.lit(r"\p{IsCyrillic}")), made("cyrillic")).otherwise(made("latin"))
@@ -176,7 +209,19 @@ def _name(value: Column, kind: Column, digits: Column, attempt: Column) -> Colum
 
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     drawn = _hash(key, kind, F.lower(value), attempt)
-    return bound(drawn, lambda digits: _surrogate(kind, value, digits, attempt))
+    more = F.floor(attempt / DRAWS).cast("int")
+
+    def longer(filler: str) -> Column:
+        return F.repeat(F.lit(filler), more)
+
+    form = (
+        F.when(kind.isin("M", "F", "S") | (more == 0), value)
+        .when(kind == "E", F.concat(longer("a"), value))
+        .when(kind == "I", F.concat(value, longer(".0")))
+        .when(kind == "K", F.concat(value, longer("a")))
+        .otherwise(F.concat(value, longer("0")))
+    )
+    return bound(drawn, lambda digits: bound(form, lambda f: _surrogate(kind, f, digits, attempt)))
 
 
 def _surrogate(kind: Column, value: Column, digits: Column, attempt: Column) -> Column:
