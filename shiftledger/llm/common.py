@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import shutil
 import tempfile
@@ -13,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiftledger.sources.storage import Storage
+
 #: A word: anything between spaces and the control characters tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -44,6 +47,19 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete written ``tables`` that are used up, and shuffle files that nothing refers to any more.
+
+    Spark cleans the latter once the driver collects its garbage, which on its own it may do late.
+    """
+    for table in tables:
+        folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+        for folder in folders:
+            Storage(spark, folder).delete("")
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def free_name(taken: list[str], name: str) -> str:
     """``name``, lengthened until no column is called so, whatever the case."""
     held = {column.lower() for column in taken}
