@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import re
 import shutil
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 import pyarrow as pa
@@ -20,6 +20,7 @@ from shiftledger.sources.storage import Storage
 WORD = r"[^\x20\x09-\x0D]+"
 
 _LOCAL: dict[str, str] = {}
+_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -47,17 +48,25 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete written ``tables`` that are used up, and shuffle files that nothing refers to any more.
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, a query's shuffle files go when it ends, not when the driver collects its garbage."""
+    before = spark.conf.get(_SHUFFLES, None)
+    spark.conf.set(_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLES)
+        else:
+            spark.conf.set(_SHUFFLES, before)
 
-    Spark cleans the latter once the driver collects its garbage, which on its own it may do late.
-    """
+
+def remove(*tables: DataFrame) -> None:
+    """Delete written ``tables`` that are used up."""
     for table in tables:
-        folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
-        for folder in folders:
-            Storage(spark, folder).delete("")
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            Storage(table.sparkSession, folder).delete("")
 
 
 def free_name(taken: list[str], name: str) -> str:
