@@ -61,6 +61,36 @@ WITH split AS (
 SELECT s.doc_id, len(words)::BIGINT AS n_words, coalesce(len(removed), 0)::BIGINT AS n_removed,
   sha256(coalesce(kept, '')) AS kept_sha256
 FROM split s LEFT JOIN listed l ON s.doc_id = l.doc_id LEFT JOIN kept k ON s.doc_id = k.doc_id
+""",
+    "op8_suffixes": """
+WITH split AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), strings AS (
+  SELECT doc_id, pos, md5(substr(h, 2 * pos + 1, 100)) AS content
+  FROM (SELECT doc_id, h, unnest(range(0, strlen(h) // 2 - 49)) AS pos FROM split)
+), firsts AS (
+  SELECT content, min(doc_id) AS least FROM strings GROUP BY content
+), gone AS (
+  SELECT s.doc_id, s.pos FROM strings s JOIN firsts f ON f.content = s.content WHERE s.doc_id > f.least
+), ordered AS (
+  -- a string that starts within or right behind the one before goes on its run
+  SELECT *, pos > coalesce(lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 50, -1) AS new FROM gone
+), numbered AS (
+  SELECT *, sum(new::INTEGER) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM ordered
+), runs AS (
+  SELECT doc_id, run, min(pos) AS low, max(pos) + 50 AS high FROM numbered GROUP BY doc_id, run
+), pieces AS (
+  SELECT r.*, substr(h, 2 * coalesce(lag(high) OVER w, 0) + 1, 2 * (low - coalesce(lag(high) OVER w, 0))) AS piece
+  FROM runs r JOIN split s ON s.doc_id = r.doc_id WINDOW w AS (PARTITION BY r.doc_id ORDER BY low)
+), parts AS (
+  SELECT doc_id, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS high,
+    string_agg(piece, '' ORDER BY low) AS kept
+  FROM pieces GROUP BY doc_id
+)
+SELECT s.doc_id, (strlen(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept || substr(h, 2 * high + 1), h))) AS kept_sha256
+FROM split s LEFT JOIN parts p ON p.doc_id = s.doc_id
 """,
     "op10_mixing": f"""
 WITH sized AS (
