@@ -141,14 +141,19 @@ def _manifest(archive: str, index: str | None, records: int) -> pa.RecordBatch:
 
 
 def _inflated(raw, chunk: int = 1 << 20) -> Iterator[bytes]:
-    """The content of a gzip file of one member or many."""
+    """The content of a gzip file of one member or many, ``chunk`` bytes at most at a time."""
     inflater, begun = zlib.decompressobj(GZIP), False
     while data := raw.read(chunk):
-        while data:
+        more = False
+        while data or more:
             if inflater.eof:
                 inflater, begun = zlib.decompressobj(GZIP), False
-            yield inflater.decompress(data)
-            data, begun = inflater.unused_data, True
+            piece = inflater.decompress(data, chunk)
+            yield piece
+            begun = True
+            # a full piece may leave content behind that needs no further input
+            more = len(piece) == chunk and not inflater.eof
+            data = inflater.unconsumed_tail or inflater.unused_data
     if begun and not inflater.eof:
         raise ValueError("the archive ends within a gzip member")
 
