@@ -13,7 +13,11 @@ content, document, first edge, number of edges.
 
 Joins bring the verdicts back to the coordinates, where paths are glued to spans.
 Contents that many documents share are counted before the shuffle and compared
-once, so the work grows with distinct contents.
+once, so the work grows with distinct contents.  Of equal texts one is cut: all
+windows of every copy are repeated.
+
+Contents and edges are told apart by 64 bits among those of one anchor only, so
+two that differ must also share the run of words with the smallest hash.
 
 Defined cases: null and empty texts have no words; shorter texts than a window
 lose nothing; rows of equal id and text are copies of each other; null ids
@@ -30,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftledger.llm.common import written
+from shiftledger.llm.common import remove, shuffles_removed, written
 from shiftledger.llm.windows import Windows, covered, spans_of
 
 WINDOW = 35
 #: Words in the runs that anchors are chosen from.
 GRAM = 12
 _SEED = 1
+#: As many windows as a text has.
+_ALL = 1 << 40
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -87,7 +93,7 @@ def _edges(window: int, gram: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts: list[list[np.ndarray]] = [[], [], [], []]
+            parts: list[list[np.ndarray]] = [[], [], [], [], []]
             for text, paths in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 windows = Windows(_hashed(words_of(text.as_py())), window, gram)
                 for path in paths:
@@ -99,13 +105,15 @@ def _edges(window: int, gram: int):
                             windows.hashes(low, low + size),
                             np.full(size, path["content"], np.int64),
                             np.arange(size),
+                            np.full(size, path["once"], bool),
                         ),
                         strict=True,
                     ):
                         part.append(values)
             if parts[0]:
-                names = ["anchor", "edge", "content", "place"]
-                yield pa.RecordBatch.from_arrays([_longs(np.concatenate(p)) for p in parts], names=names)
+                names = ["anchor", "edge", "content", "place", "once"]
+                *numbers, once = (np.concatenate(p) for p in parts)
+                yield pa.RecordBatch.from_arrays([*map(_longs, numbers), pa.array(once)], names=names)
 
     return cut
 
@@ -116,49 +124,87 @@ def keyed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.withColumn("doc", F.xxhash64("doc_id", "text"))
 
 
+def _copies(rows: DataFrame, window: int) -> DataFrame:
+    """doc of every row whose text occurs in another row, and whether a smaller doc has it too.
+
+    Texts are told apart by 128 bits; those too short for a window are left out.
+    """
+    text = ["first_half", "second_half"]
+    hashed = rows.filter(F.octet_length("text") >= 2 * window - 1).select(
+        "doc", F.xxhash64("text").alias(text[0]), F.xxhash64(F.lit("second half"), "text").alias(text[1])
+    )
+    counted = hashed.groupBy(*text).agg(F.count(F.lit(1)).alias("rows"), F.min("doc").alias("least"))
+    equal = written(counted.filter("rows > 1").drop("rows"), "equal_texts")
+    marked = hashed.join(equal, text).select("doc", (F.col("doc") > F.col("least")).alias("later"))
+    copies = written(marked.distinct(), "copies")
+    remove(equal)
+    return copies
+
+
+def _distinct_texts(rows: DataFrame, copies: DataFrame) -> DataFrame:
+    """doc and text of one row of each group of copies, and of all other rows.
+
+    Only rows that are equal in id and text as well are grouped.
+    """
+    first = rows.select("doc", "text").join(copies.filter("later").select("doc"), "doc", "left_anti")
+    equal = written(first.groupBy("doc").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc"), "equal_rows")
+    one = first.join(equal, "doc", "left_semi").groupBy("doc").agg(F.first("text").alias("text"))
+    return first.join(equal, "doc", "left_anti").unionByName(one)
+
+
+def _repeated_places(contents: DataFrame, texts: DataFrame, window: int, gram: int) -> DataFrame:
+    """Of contents that occur once, the places of their edges that other contents of the anchor hold."""
+    branching = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("ways")).filter("ways > 1").select("anchor")
+    path = F.struct("anchor", "content", "at.start", "at.size", (F.col("n") == 1).alias("once"))
+    branching = written(branching, "branching")
+    chosen = contents.join(branching, "anchor", "left_semi").groupBy("at.doc")
+    chosen = chosen.agg(F.collect_list(path).alias("paths"))
+    schema = "anchor long, edge long, content long, place long, once boolean"
+    sources = texts.join(chosen, "doc").select("text", "paths")
+    edges = written(sources.mapInArrow(_edges(window, gram), schema), "edges")
+    here = F.struct("content", "place")
+    repeated = edges.groupBy("anchor", "edge").agg(F.min(here).alias("first"), F.max(here).alias("last"))
+    # a table of its own, so that the join can split an edge that many contents hold
+    repeated = written(repeated.filter("first <> last").select("anchor", "edge"), "repeated_edges")
+    places = edges.filter("once").join(repeated, ["anchor", "edge"]).groupBy("anchor", "content")
+    places = written(places.agg(F.array_sort(F.collect_list("place")).alias("places")), "places")
+    remove(branching, edges, repeated)
+    return places
+
+
 def repeated_spans(
     rows: DataFrame, window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
-    """doc, start and size: ``size`` neighbouring windows of a document that are repeated."""
-    schema = "anchor long, content long, doc long, start long, size long"
-    paths = written(rows.select("doc", "text").mapInArrow(_paths(window, gram), schema), "paths")
-    inner = paths.filter("anchor is null").select("doc", "start", "size")
-    paths = paths.filter("anchor is not null")
+    """doc, start and size: ``size`` neighbouring windows of a document that are repeated.
 
+    For copies of a text ``size`` is more than the text has.
+    """
+    copies = _copies(rows, window)
+    texts = _distinct_texts(rows, copies)
+    schema = "anchor long, content long, doc long, start long, size long"
+    cut = written(texts.mapInArrow(_paths(window, gram), schema), "paths")
+    paths = cut.filter("anchor is not null")
     shared = paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    paths = written(paths.join(shared, "anchor"), "shared_paths")
+    shared = written(shared, "shared_anchors")
+    inner = written(cut.filter("anchor is null").select("doc", "start", "size"), "inner")
+    paths = written(paths.join(shared, "anchor", "left_semi"), "shared_paths")
+    remove(cut, shared)
     contents = paths.groupBy("anchor", "content").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "start", "size")).alias("at")
     )
     contents = written(contents, "contents")
-    branching = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("ways")).filter("ways > 1")
-    chosen = (
-        contents.join(branching, "anchor")
-        .groupBy("at.doc")
-        .agg(F.collect_list(F.struct("anchor", "content", "at.start", "at.size")).alias("paths"))
-    )
-    texts = rows.join(chosen, "doc").select("text", "paths")
-    schema = "anchor long, edge long, content long, place long"
-    edges = written(texts.mapInArrow(_edges(window, gram), schema), "edges")
-    here = F.struct("content", "place")
-    repeated = edges.groupBy("anchor", "edge").agg(F.min(here).alias("first"), F.max(here).alias("last"))
-    repeated = repeated.filter("first <> last").select("anchor", "edge")
-    # of contents that occur once, the places of their repeated edges
-    places = (
-        edges.join(contents.filter("n = 1").select("anchor", "content"), ["anchor", "content"])
-        .join(repeated, ["anchor", "edge"])
-        .select("anchor", "content", "place")
-        .distinct()
-        .groupBy("anchor", "content")
-        .agg(F.array_sort(F.collect_list("place")).alias("places"))
-    )
+    places = _repeated_places(contents, texts, window, gram)
     whole = paths.join(contents.filter("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi")
     partial = paths.join(places, ["anchor", "content"]).select(
         "doc",
         F.explode(F.transform("places", lambda p: F.col("start") + p)).alias("start"),
         F.lit(1).cast("long").alias("size"),
     )
-    return inner.unionByName(whole.select("doc", "start", "size")).unionByName(partial)
+    equal = copies.select("doc", F.lit(0).cast("long").alias("start"), F.lit(_ALL).cast("long").alias("size"))
+    spans = inner.unionByName(whole.select("doc", "start", "size")).unionByName(partial).unionByName(equal)
+    spans = written(spans, "spans")
+    remove(inner, paths, contents, places, copies)
+    return spans
 
 
 def without_repeats(
@@ -166,10 +212,12 @@ def without_repeats(
 ) -> DataFrame:
     """doc_id, n_words, n_removed and the kept words, joined by one space."""
     rows = keyed(documents, doc_id, text)
-    spans = written(repeated_spans(rows, window, gram), "spans")
-    per_doc = spans.groupBy("doc").agg(
-        F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes")
-    )
+    with shuffles_removed(documents.sparkSession):
+        spans = repeated_spans(rows, window, gram)
+        # a table of its own, so that the join can split rows that are equal in id and text
+        arrays = [F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes")]
+        per_doc = written(spans.groupBy("doc").agg(*arrays), "spans_of_docs")
+    remove(spans)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
@@ -178,8 +226,9 @@ def without_repeats(
             for value, starts, sizes in zip(batch.column(1), batch.column(2), batch.column(3), strict=True):
                 words = words_of(value.as_py())
                 kept = words
-                if starts.is_valid:
-                    gone = covered(len(words), starts.values.to_numpy(), sizes.values.to_numpy(), window)
+                if starts.is_valid and len(words) >= window:
+                    low = starts.values.to_numpy()
+                    gone = covered(len(words), low, np.minimum(sizes.values.to_numpy(), len(words) - window + 1 - low), window)
                     kept = [words[i] for i in np.flatnonzero(~gone)]
                 joined = b" ".join(kept)
                 digest = hashlib.sha256(joined).hexdigest()
