@@ -30,7 +30,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftledger.llm.common import bound, small_frame, written
@@ -86,15 +86,31 @@ def simhash(hashes: Column) -> Column:
 
 
 def similarity(a: Column, b: Column) -> Column:
-    """Common weight over all weight; the weight of a shingle is how often it occurs."""
+    """Common weight over all weight; the weight of a shingle is how often it occurs.
 
-    def count(array: Column, value: Column) -> Column:
-        return F.size(F.filter(array, lambda x: x == value))
+    Both are sorted into one array and read once, a shingle at a time.
+    """
+
+    def count(in_a: Column, in_b: Column, value: Column, common: Column) -> Column:
+        counts = [c.cast("int").alias(n) for c, n in ((in_a, "in_a"), (in_b, "in_b"), (common, "common"))]
+        return F.struct(value.alias("value"), *counts)
+
+    def read(held: Column, x: Column) -> Column:
+        of_a = F.when(x["of_a"], 1).otherwise(0)
+        more = count(held["in_a"] + of_a, held["in_b"] + 1 - of_a, x["value"], held["common"])
+        return F.when(held["value"] == x["value"], more).otherwise(count(of_a, 1 - of_a, x["value"], closed(held)))
 
-    common = F.aggregate(
-        F.array_distinct(a), F.lit(0), lambda n, x: n + F.least(count(a, x), count(b, x))
+    def closed(held: Column) -> Column:
+        return held["common"] + F.least(held["in_a"], held["in_b"])
+
+    def tagged(array: Column, of_a: bool) -> Column:
+        return F.transform(array, lambda x: F.struct(x.alias("value"), F.lit(of_a).alias("of_a")))
+
+    every = F.sort_array(F.concat(tagged(a, True), tagged(b, False)))
+    none = count(F.lit(0), F.lit(0), F.lit(None).cast("bigint"), F.lit(0))
+    return bound(
+        F.aggregate(every, none, read, closed), lambda common: common / (F.size(a) + F.size(b) - common)
     )
-    return common / (F.size(a) + F.size(b) - common)
 
 
 def _widths() -> list[tuple[int, int]]:
@@ -181,14 +197,24 @@ def contaminated(
     )
     # in shingles: a window of ``length`` words has ``length - 4``, or all the document has
     wide = F.least(F.col("length") - (SHINGLE - 1), F.col("n"))
-    starts = F.sequence(F.greatest(F.col("at") - wide + 1, F.lit(0)), F.least(F.col("at"), F.col("n") - wide))
+    # a hit counts from the first start whose window holds it until its own place
+    counted = hits.select("row", "n", "length", wide.alias("wide"), "at").select(
+        "row", "length", "wide", (F.col("n") - F.col("wide")).alias("last"),
+        F.explode(
+            F.array(
+                F.struct(F.greatest(F.col("at") - F.col("wide") + 1, F.lit(0)).alias("start"), F.lit(1).alias("more")),
+                F.struct((F.col("at") + 1).alias("start"), F.lit(-1).alias("more")),
+            )
+        ).alias("change"),
+    ).select("row", "length", "wide", "last", "change.*").filter("start <= last")
+    # the starts up to the next change have as many hits; of changes at one start only the last is followed by any
+    along = Window.partitionBy("row", "length").orderBy("start")
+    counted = counted.withColumns({"hits": F.sum("more").over(along), "next": F.lead("start").over(along)})
     # a window needs this many of its positions to hit, or it cannot reach the similarity
-    windows = (
-        hits.select("row", "length", wide.alias("wide"), F.explode(starts).alias("start"))
-        .groupBy("row", "length", "wide", "start")
-        .agg(F.count(F.lit(1)).alias("hits"))
-        .filter(F.col("hits") >= F.ceil((F.col("length") - (SHINGLE - 1)) * F.lit(threshold) - 1e-9))
-    )
+    enough = F.col("hits") >= F.ceil((F.col("length") - (SHINGLE - 1)) * F.lit(threshold) - 1e-9)
+    end = F.coalesce(F.col("next") - 1, F.col("last"))
+    runs = counted.filter(enough).withColumn("end", end).filter("start <= end")
+    windows = runs.select("row", "length", "wide", F.explode(F.sequence("start", "end")).alias("start"))
     cut = windows.join(suspects, "row").select(
         "doc_id", "length", "start", F.slice("shingles", F.col("start") + 1, F.col("wide")).alias("window")
     )
