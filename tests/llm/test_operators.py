@@ -6,6 +6,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import random
 import re
 import zlib
@@ -94,6 +95,18 @@ def test_normalised_archives_have_a_member_per_record(spark):
         assert at == len(data)
 
 
+@pytest.mark.parametrize("level", [0, 9])
+def test_archives_are_inflated_in_bounded_pieces(level):
+    parts = [b"a" * 5000, b"", b"xyz" * 4096, bytes(range(256)) * 9]
+    data = b"".join(gzip.compress(p, level) for p in parts)
+    for chunk in (1, 7, 64, 4096, 5000):
+        pieces = list(warc._inflated(io.BytesIO(data), chunk))
+        assert max(map(len, pieces)) <= chunk
+        assert b"".join(pieces) == b"".join(parts)
+    with pytest.raises(ValueError, match="within a gzip member"):
+        list(warc._inflated(io.BytesIO(data[:-9]), 64))
+
+
 # 2
 
 
@@ -122,6 +135,24 @@ def test_repeated_windows(spark, window, gram, vocabulary):
     assert tuples(found, "doc_id", "n_words", "n_removed", "kept_sha256") == without_repeats(texts, window)
 
 
+def test_copies_of_texts_are_repeated_from_end_to_end(spark):
+    """Rows equal in id and text, equal texts, texts that differ in spaces only, and parts of them."""
+    rng = random.Random(3)
+    a, b, c, d = ([f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(4))
+    texts = [(1, " ".join(a))] * 50 + [(n, " ".join(b)) for n in range(2, 40)]
+    texts += [(50, "  ".join(c)), (51, " ".join(c)), (52, " ".join(d)), (53, " ".join(d + a[5:45])), (54, " ".join(a[:39]))]
+    texts += [(55, " ".join(d[:34])), (56, " ".join(d[:34])), (None, " ".join(b)), (57, None), (58, None), (59, ""), (None, None)]
+    found = debruijn.without_repeats(documents(spark, texts))
+    assert tuples(found, "doc_id", "n_words", "n_removed", "kept_sha256") == without_repeats(texts, 35)
+
+
+def test_spans_of_equal_rows_grow_with_the_rows(spark):
+    """One span for all rows equal in id and text, however many."""
+    text = " ".join(f"w{n}" for n in range(300))
+    rows = debruijn.keyed(documents(spark, [(1, text)] * 3000 + [(2, "x " + text)]), "doc_id", "text")
+    assert debruijn.repeated_spans(rows).count() < 100
+
+
 # 3
 
 
@@ -271,6 +302,25 @@ def test_contaminated_documents(spark):
     assert decontaminate.contaminated(documents(spark, docs), benchmark.limit(0)).count() == 0
 
 
+def test_similarity_weighs_shingles_as_often_as_they_occur(spark):
+    rng = random.Random(8)
+    pairs = [([rng.randrange(6) for _ in range(rng.randrange(9))], [rng.randrange(6) for _ in range(1, rng.randrange(2, 9))]) for _ in range(60)]
+    pairs.append(([-1 << 63, 5, 5], [5, -1 << 63, -1 << 63]))
+    frame = spark.createDataFrame(pairs, "a array<long>, b array<long>")
+    for row in frame.select("a", "b", decontaminate.similarity(F.col("a"), F.col("b")).alias("found")).collect():
+        a, b = row["a"], row["b"]
+        common = sum(min(a.count(x), b.count(x)) for x in set(a))
+        assert row["found"] == common / (len(a) + len(b) - common)
+
+
+def test_contaminated_by_a_long_item(spark):
+    item = " ".join(f"w{n}" for n in range(4000))
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = [(n, item) for n in range(10)] + [(10, "before " * 3 + item), (11, item[: len(item) // 2])]
+    found = decontaminate.contaminated(documents(spark, docs), benchmark).collect()
+    assert sorted((r["doc_id"], r["similarity"], r["first_word"]) for r in found) == [(n, 1.0, 3 * (n == 10)) for n in range(11)]
+
+
 # 6
 
 
