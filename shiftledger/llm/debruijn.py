@@ -7,6 +7,11 @@ edges of one anchor form a path without branches and travel as one row: anchor,
 content, document, first edge, number of edges.
 
 * A path whose whole content occurs more than once is repeated from end to end.
+* The node between two such paths, the words that the last window of one and the
+  first of the next share, does not branch if the one is always followed by the
+  other and the other always preceded by the one.  Joins compact paths along
+  those nodes, twice as far each round, so that a long repeated span is one path
+  of the graph and one row for each place it occurs at.
 * Where one anchor has several contents, the graph branches: their edges are
   compared one by one, each distinct content once, at its source coordinates.
 * An edge that repeats within its document is found there.
@@ -31,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftledger.llm.common import remove, shuffles_removed, written
@@ -172,6 +177,51 @@ def _repeated_places(contents: DataFrame, texts: DataFrame, window: int, gram: i
     return places
 
 
+def _contents(paths: DataFrame) -> DataFrame:
+    """Each distinct path: how often it occurs, one of its places, and the paths it always comes between."""
+    key = F.struct("anchor", "content")
+    along = Window.partitionBy("doc").orderBy("start")
+    end = F.col("start") + F.col("size")
+    linked = paths.withColumns(
+        {
+            "next": F.when(F.lead("start").over(along) == end, F.lead(key).over(along)),
+            "before": F.when(F.lag(end).over(along) == F.col("start"), F.lag(key).over(along)),
+        }
+    )
+
+    def always(name: str) -> Column:
+        same = (F.count(name) == F.count(F.lit(1))) & (F.min(name) == F.max(name))
+        return F.when(same, F.min(name)).alias(name)
+
+    at = F.min(F.struct("doc", "start", "size")).alias("at")
+    return linked.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), at, always("next"), always("before"))
+
+
+def _compacted(repeated: DataFrame) -> DataFrame:
+    """anchor, content and number of edges of the maximal nonbranching paths, under the path each begins with.
+
+    A document ends, so paths that always follow each other form no circle.
+    """
+    own = F.struct("anchor", "content")
+    after = repeated.select(own.alias("next"), F.col("before").alias("key")).filter("key is not null")
+    links = repeated.select(own.alias("key"), "next").filter("next is not null").join(after, ["key", "next"])
+    links = written(links, "links")
+    sizes = repeated.select(own.alias("key"), F.col("at.size").alias("size"))
+    begun = sizes.join(links.select(F.col("next").alias("key")), "key", "left_anti")
+    held = [written(sizes.join(links, "key", "left"), "chains")]
+    while held[-1].filter("next is not null").limit(1).count():
+        rows = held[-1]
+        further = rows.select(F.col("key").alias("next"), F.col("size").alias("more"), F.col("next").alias("beyond"))
+        open_rows = rows.filter("next is not null").join(further, "next")
+        stepped = open_rows.select("key", (F.col("size") + F.col("more")).alias("size"), F.col("beyond").alias("next"))
+        held.append(written(stepped.unionByName(rows.filter("next is null")), "chains"))
+        remove(rows)
+    heads = held[-1].select("key", "size").join(begun.select("key"), "key", "left_semi")
+    heads = written(heads.select("key.anchor", "key.content", "size"), "compacted")
+    remove(links, held[-1])
+    return heads
+
+
 def repeated_spans(
     rows: DataFrame, window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
@@ -189,12 +239,10 @@ def repeated_spans(
     inner = written(cut.filter("anchor is null").select("doc", "start", "size"), "inner")
     paths = written(paths.join(shared, "anchor", "left_semi"), "shared_paths")
     remove(cut, shared)
-    contents = paths.groupBy("anchor", "content").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "start", "size")).alias("at")
-    )
-    contents = written(contents, "contents")
+    contents = written(_contents(paths), "contents")
+    compacted = _compacted(contents.filter("n > 1"))
     places = _repeated_places(contents, texts, window, gram)
-    whole = paths.join(contents.filter("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi")
+    whole = paths.drop("size").join(compacted, ["anchor", "content"])
     partial = paths.join(places, ["anchor", "content"]).select(
         "doc",
         F.explode(F.transform("places", lambda p: F.col("start") + p)).alias("start"),
@@ -203,7 +251,7 @@ def repeated_spans(
     equal = copies.select("doc", F.lit(0).cast("long").alias("start"), F.lit(_ALL).cast("long").alias("size"))
     spans = inner.unionByName(whole.select("doc", "start", "size")).unionByName(partial).unionByName(equal)
     spans = written(spans, "spans")
-    remove(inner, paths, contents, places, copies)
+    remove(inner, paths, contents, compacted, places, copies)
     return spans
 
 

@@ -146,6 +146,25 @@ def test_copies_of_texts_are_repeated_from_end_to_end(spark):
     assert tuples(found, "doc_id", "n_words", "n_removed", "kept_sha256") == without_repeats(texts, 35)
 
 
+def test_paths_are_compacted_up_to_branching_nodes(spark):
+    """A passage of many anchors is one path in each place, cut where one of its copies leaves it."""
+    passage, *rest = (" ".join(f"{c}{n}" for n in range(400)) for c in "abcdefg")
+    texts = [(n, f"{rest[n]} {passage} {rest[n + 3]}") for n in range(3)]
+
+    def spans(texts):
+        rows = debruijn.keyed(documents(spark, texts), "doc_id", "text")
+        found = debruijn.repeated_spans(rows).groupBy("doc").agg(F.collect_list("size").alias("sizes"))
+        return [sorted(r["sizes"]) for r in found.collect()]
+
+    # the paths at both ends of the passage go over into words of the document, so their edges are compared one by one
+    for sizes in spans(texts):
+        assert sum(sizes) == 366 and max(sizes) > 300
+        assert all(size == 1 for size in sizes[:-1])
+    part = " ".join(passage.split()[100:300])
+    for sizes in spans([*texts, (9, f"{part} z")]):
+        assert sum(sizes) in (366, 166) and max(sizes) < 180 and sum(size > 1 for size in sizes) <= 3
+
+
 def test_spans_of_equal_rows_grow_with_the_rows(spark):
     """One span for all rows equal in id and text, however many."""
     text = " ".join(f"w{n}" for n in range(300))
