@@ -256,6 +256,19 @@ def test_slices_give_the_rows_of_the_window(spark, hot_rows):
     assert len(plain) < 6_000
 
 
+@pytest.mark.parametrize("hot_rows", [0, 40])
+def test_bounds_do_not_grow_with_the_events(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr("shiftledger.operators.successors.SLICES", 20, raising=False)
+    for rows in (6_000, 24_000):
+        events = hot_events(spark, rows)
+        found = hot_days(events, hot_rows)
+        bounds = found.keys.agg(F.sum(F.size("bounds"))).first()[0]
+        assert 4 < bounds < 40
+        split = next_event(events, hot_rows=hot_rows)
+        plain = next_event(events, split_hot=False).select(split.columns)
+        assert split.exceptAll(plain).count() == plain.exceptAll(split).count() == 0
+
+
 def test_slices_share_one_shuffle_and_one_window(tables):
     events = in_event_window(tables.clock_events, FROM_DAY, TO_DAY, "22:59:59")
     plan = initial_plan(successors(events, hot_rows=3))
