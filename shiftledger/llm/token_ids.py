@@ -45,6 +45,8 @@ MIN_COUNT = 32
 #: Bytes of texts and different words of them that are encoded at once, about.
 TEXT_AT_ONCE = 1 << 23
 WORDS_AT_ONCE = 4096
+#: Different words whose ids a worker process keeps, at most.
+KNOWN_WORDS = 1 << 20
 MAGIC = b"RPR1"
 _BUCKETS = 1 << 18
 _SHIFT = np.uint32(14)
@@ -61,7 +63,10 @@ def _gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.nda
 
 
 class WordIds:
-    """Ids of texts; of the texts encoded together, each different word is encoded once.
+    """Ids of texts; each different word is encoded once, and again only when forgotten.
+
+    Words are kept from text to text, up to ``KNOWN_WORDS``; when there are more,
+    all but those of the texts at hand are forgotten.
 
     For tokenizers that never join characters across white space, ignore the case
     of ASCII letters and keep a run of marks apart from letters before it.
@@ -79,6 +84,11 @@ class WordIds:
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self._ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known = pa.array([], pa.string())
+        self._ids, self._sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64)
 
     def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [f.ids for f in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -94,6 +104,34 @@ class WordIds:
             return self._one_by_one(words)
         return ids, np.diff(ends, prepend=0)
 
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where words are among those known; encodes the others."""
+        found = pc.index_in(words, value_set=self._known)
+        new = words.filter(found.is_null()).unique()
+        if len(self._known) and len(self._known) + len(new) > KNOWN_WORDS:
+            self._forget()
+            return self._places(words)
+        letters = pc.utf8_is_alpha(new)
+        new, middle = pa.concat_arrays([new.filter(letters), new.filter(pc.invert(letters))]), letters.true_count
+        known = new.to_pylist()
+        parts = [
+            self._as_one_text(known[low : min(low + WORDS_AT_ONCE, middle)])
+            for low in range(0, middle, WORDS_AT_ONCE)
+        ]
+        parts += [
+            self._one_by_one(known[low : low + WORDS_AT_ONCE])
+            for low in range(middle, len(known), WORDS_AT_ONCE)
+        ]
+        if parts:
+            among_new = pc.add(pc.index_in(words, value_set=new), len(self._known))
+            found = pc.coalesce(found, among_new.cast(pa.int32()))
+            self._known = pa.concat_arrays([self._known, new])
+            self._ids, self._sizes = (
+                np.concatenate([held, *p])
+                for held, p in zip((self._ids, self._sizes), zip(*parts, strict=True), strict=True)
+            )
+        return found.to_numpy().astype(np.int64)
+
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of different words, where those of each start, and how many they are."""
         letters = pc.ascii_rtrim(words, characters=string.punctuation)
@@ -106,26 +144,14 @@ class WordIds:
         pairs = zip(words.filter(marked).to_pylist(), letters.filter(marked).to_pylist(), strict=True)
         tails = pa.array([word[len(head) :] for word, head in pairs], pa.string()).dictionary_encode()
 
-        alone = ~pc.utf8_is_alpha(heads.dictionary).to_numpy(zero_copy_only=False)
-        order = np.argsort(alone, kind="stable")
-        known = heads.dictionary.take(pa.array(order)).to_pylist()
-        middle = len(order) - int(alone.sum())
-        parts = [
-            self._as_one_text(known[low : min(low + WORDS_AT_ONCE, middle)])
-            for low in range(0, middle, WORDS_AT_ONCE)
-        ]
-        rest = known[middle:] + tails.dictionary.to_pylist() + [""]
-        parts += [
-            self._one_by_one(rest[low : low + WORDS_AT_ONCE])
-            for low in range(0, len(rest), WORDS_AT_ONCE)
-        ]
-        ids, sizes = (np.concatenate(p) for p in zip(*parts, strict=True))
-        starts = np.cumsum(sizes) - sizes
+        parts = [heads.dictionary, tails.dictionary, pa.array([""])]
+        at = self._places(pa.concat_arrays([part.cast(pa.string()) for part in parts]))
         # each word is a head and a tail, which is empty for most
-        both = np.full((len(words), 2), len(sizes) - 1)
-        both[:, 0] = np.argsort(order)[heads.indices.to_numpy()]
-        both[marked.to_numpy(zero_copy_only=False), 1] = len(order) + tails.indices.to_numpy()
-        flat, ends = _gathered(ids, starts, sizes, both.ravel())
+        both = np.full((len(words), 2), at[-1])
+        both[:, 0] = at[heads.indices.to_numpy()]
+        both[marked.to_numpy(zero_copy_only=False), 1] = at[len(heads.dictionary) + tails.indices.to_numpy()]
+        starts = np.cumsum(self._sizes) - self._sizes
+        flat, ends = _gathered(self._ids, starts, self._sizes, both.ravel())
         ends = ends[1::2]
         sizes = np.diff(ends, prepend=0)
         return flat, ends - sizes, sizes

@@ -572,3 +572,27 @@ def test_words_encoded_apart_equal_whole_texts():
     found = token_ids.WordIds(path).encode(pa.array(texts))
     assert list(found) == [np.array(e.ids, "<u4").tobytes() for e in whole]
     assert list(token_ids.WordIds(path).encode(pa.array([], pa.string()))) == []
+
+
+def test_words_are_encoded_once_until_forgotten(monkeypatch):
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.calls = tokenizer, 0
+
+        def encode_batch_fast(self, *args, **options):
+            self.calls += 1
+            return self.tokenizer.encode_batch_fast(*args, **options)
+
+    words = token_ids.WordIds(tokenizer_path())
+    plain, words.tokenizer = words.tokenizer, Counted(words.tokenizer)
+    texts = [f"Some WORDS, some word{n} ({n % 7}) été{'x' * (n % 5)}!? İI{n} ..." for n in range(40)] + ["", " "]
+    expected = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert list(words.encode(pa.array(texts))) == expected
+    calls = words.tokenizer.calls
+    assert list(words.encode(pa.array(texts[::-1]))) == expected[::-1]
+    assert words.tokenizer.calls == calls > 0
+
+    monkeypatch.setattr(token_ids, "KNOWN_WORDS", 30, raising=False)
+    for low in range(0, len(texts), 3):
+        assert list(words.encode(pa.array(texts[low : low + 3]))) == expected[low : low + 3]
+        assert len(words._known) <= 30
