@@ -17,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shiftledger.llm import (
-    debruijn, decontaminate, files, mixing, neighbours, simhash, suffixes, surrogates, token_ids, toxicity, warc,
+    bwt, debruijn, decontaminate, files, mixing, neighbours, simhash, suffixes, surrogates, token_ids, toxicity, warc,
 )
 from shiftledger.llm.common import shared_folder
 from shiftledger.llm.components import connected_components
@@ -574,6 +574,55 @@ def test_words_encoded_apart_equal_whole_texts():
     assert list(token_ids.WordIds(path).encode(pa.array([], pa.string()))) == []
 
 
+def test_small_documents_share_batches():
+    texts = [f"text {n} " * 10 for n in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(range(300)), pa.array(texts)], names=["doc_id", "doc", "text"])
+    paths = list(suffixes._paths(50, 16)(iter([batch])))
+    assert len(paths) == 1
+    rows = paths[0].to_pylist()
+    alone = [r for n in range(300) for b in suffixes._paths(50, 16)(iter([batch.slice(n, 1)])) for r in b.to_pylist()]
+    assert rows == alone and {r["doc"] for r in rows} == set(range(300))
+
+    chosen = [
+        [{"anchor": r["anchor"], "content": r["content"], "least": n, "start": r["span"] >> 21,
+          "size": r["span"] & ((1 << 21) - 1), "hot": at % 3 == 0} for at, r in enumerate(rows) if r["doc"] == n]
+        for n in range(300)
+    ]
+    path = pa.struct([(name, pa.int64()) for name in suffixes._PATH[:-1]] + [("hot", pa.bool_())])
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(chosen, pa.list_(path))], names=["text", "paths"])
+    strings = list(suffixes._strings(50)(iter([batch.slice(0, 100), batch.slice(100)])))
+    assert len(strings) == 1
+    found = {(r["least"], r["content"], r["place"], r["bytes"].decode()) for r in strings[0].to_pylist()}
+    expected = set()
+    for n, paths in enumerate(chosen):
+        for p in paths:
+            whole = texts[n][p["start"] : p["start"] + p["size"] + 49]
+            places = range(p["size"]) if p["hot"] else [0]
+            expected |= {(n, p["content"], at, whole[at : at + 50] if p["hot"] else whole) for at in places}
+    assert found == expected
+
+
+@pytest.mark.parametrize("shards", [1, 3, 7])
+@pytest.mark.parametrize("depth", [1, 5, 9, 50])
+def test_merged_transforms_equal_sorted_suffixes(shards, depth):
+    draw = random.Random(depth)
+    strings = [bytes(draw.choices([0, 97, 255], k=draw.randint(0, 60))) for _ in range(40)]
+    strings += strings[:10] + [b"", bytes(70)]
+    groups = [strings[n::shards] for n in range(shards)]
+    parts = [bwt.transform(bwt.joined(g), depth) for g in groups]
+    part, rank, block = bwt.merged_blocks(parts, depth)
+    # what follows an end mark does not count
+    found, blocks = [], []
+    for p, r, number in zip(part.tolist(), rank.tolist(), block.tolist(), strict=True):
+        symbols = bwt.joined(groups[p])[int(parts[p].place[r]) :][:depth].tolist()
+        if len(symbols) == depth and 0 not in symbols:
+            found.append(symbols)
+            blocks.append(number)
+    assert found == sorted(found)
+    assert len(found) == sum(max(0, len(s) - depth + 1) for s in strings) > 20
+    assert np.array_equal([a == b for a, b in zip(found, found[1:])], np.diff(blocks) == 0)
+
+
 def test_words_are_encoded_once_until_forgotten(monkeypatch):
     class Counted:
         def __init__(self, tokenizer):
