@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftledger.llm import files
-from shiftledger.llm.common import shared_folder, small_frame, written
+from shiftledger.llm.common import shared_folder, small_batches, small_frame, written
 
 END_ID = 2
 #: Ids in a shard, about.
@@ -47,6 +47,10 @@ TEXT_AT_ONCE = 1 << 23
 WORDS_AT_ONCE = 4096
 #: Different words whose ids a worker process keeps, at most.
 KNOWN_WORDS = 1 << 20
+#: Bytes of rows that Spark hands to a worker at once, about.
+BATCH_BYTES = 1 << 22
+#: Elements that numpy's temporary arrays of positions hold, about.
+AT_ONCE = 1 << 16
 MAGIC = b"RPR1"
 _BUCKETS = 1 << 18
 _SHIFT = np.uint32(14)
@@ -56,10 +60,18 @@ _MANIFEST = "shard string, part int, base long, ids long"
 
 def _gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The pieces of ``ids`` numbered ``at``, one after the other, and where each ends."""
-    widths = sizes[at]
-    ends = np.cumsum(widths)
-    shift = starts[at] - (ends - widths)
-    return ids[np.repeat(shift, widths) + np.arange(ends[-1] if len(ends) else 0)], ends
+    ends = np.cumsum(sizes[at], dtype=np.int64)
+    found = np.empty(ends[-1] if len(ends) else 0, ids.dtype)
+    low = 0
+    for first in range(0, len(at), AT_ONCE):
+        piece = at[first : first + AT_ONCE]
+        until = ends[first : first + AT_ONCE]
+        widths = sizes[piece]
+        shift = starts[piece] - (until - widths)
+        high = int(until[-1])
+        found[low:high] = ids[np.repeat(shift, widths) + np.arange(low, high)]
+        low = high
+    return found, ends
 
 
 class WordIds:
@@ -88,11 +100,11 @@ class WordIds:
 
     def _forget(self) -> None:
         self._known = pa.array([], pa.string())
-        self._ids, self._sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        self._ids, self._sizes = np.zeros(0, "<u4"), np.zeros(0, np.int32)
 
     def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [f.ids for f in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.array([len(ids) for ids in found], np.int64)
+        sizes = np.array([len(ids) for ids in found], np.int32)
         return np.array([i for ids in found for i in ids], "<u4"), sizes
 
     def _as_one_text(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -102,35 +114,37 @@ class WordIds:
         ends = np.flatnonzero(self._ends[ids]) + 1
         if len(ends) != len(words) or ends[-1] != len(ids):
             return self._one_by_one(words)
-        return ids, np.diff(ends, prepend=0)
+        return ids, np.diff(ends, prepend=0).astype(np.int32)
 
     def _places(self, words: pa.Array) -> np.ndarray:
         """Where words are among those known; encodes the others."""
-        found = pc.index_in(words, value_set=self._known)
-        new = words.filter(found.is_null()).unique()
-        if len(self._known) and len(self._known) + len(new) > KNOWN_WORDS:
+        asked = words.unique()
+        # the hash table is that of the few words asked for, not of all known
+        held = pc.index_in(self._known, value_set=asked)
+        there = np.flatnonzero(held.is_valid())
+        places = np.full(len(asked), -1, np.int64)
+        places[held.drop_null().to_numpy()] = there
+        missing = np.flatnonzero(places < 0)
+        if len(self._known) and len(self._known) + len(missing) > KNOWN_WORDS:
             self._forget()
             return self._places(words)
+        new = asked.take(pa.array(missing))
         letters = pc.utf8_is_alpha(new)
-        new, middle = pa.concat_arrays([new.filter(letters), new.filter(pc.invert(letters))]), letters.true_count
-        known = new.to_pylist()
+        plain, other = new.filter(letters), new.filter(pc.invert(letters))
         parts = [
-            self._as_one_text(known[low : min(low + WORDS_AT_ONCE, middle)])
-            for low in range(0, middle, WORDS_AT_ONCE)
-        ]
-        parts += [
-            self._one_by_one(known[low : low + WORDS_AT_ONCE])
-            for low in range(middle, len(known), WORDS_AT_ONCE)
+            encode(some.slice(low, WORDS_AT_ONCE).to_pylist())
+            for some, encode in ((plain, self._as_one_text), (other, self._one_by_one))
+            for low in range(0, len(some), WORDS_AT_ONCE)
         ]
         if parts:
-            among_new = pc.add(pc.index_in(words, value_set=new), len(self._known))
-            found = pc.coalesce(found, among_new.cast(pa.int32()))
-            self._known = pa.concat_arrays([self._known, new])
+            apart = letters.to_numpy(zero_copy_only=False)
+            places[np.concatenate([missing[apart], missing[~apart]])] = len(self._known) + np.arange(len(new))
+            self._known = pa.concat_arrays([self._known, plain, other])
             self._ids, self._sizes = (
                 np.concatenate([held, *p])
                 for held, p in zip((self._ids, self._sizes), zip(*parts, strict=True), strict=True)
             )
-        return found.to_numpy().astype(np.int64)
+        return places[pc.index_in(words, value_set=asked).to_numpy()]
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of different words, where those of each start, and how many they are."""
@@ -150,19 +164,19 @@ class WordIds:
         both = np.full((len(words), 2), at[-1])
         both[:, 0] = at[heads.indices.to_numpy()]
         both[marked.to_numpy(zero_copy_only=False), 1] = at[len(heads.dictionary) + tails.indices.to_numpy()]
-        starts = np.cumsum(self._sizes) - self._sizes
+        starts = np.cumsum(self._sizes, dtype=np.int64)
+        starts -= self._sizes
         flat, ends = _gathered(self._ids, starts, self._sizes, both.ravel())
         ends = ends[1::2]
         sizes = np.diff(ends, prepend=0)
         return flat, ends - sizes, sizes
 
-    def _texts(self, texts: pa.Array) -> Iterator[bytes]:
+    def _texts(self, texts: pa.Array) -> tuple[np.ndarray, list[int]]:
+        """Ids of all texts, one after the other, and where each text ends."""
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         flat, ends = _gathered(*self._words(coded.dictionary), coded.indices.to_numpy())
-        data = flat.tobytes()
-        at = 4 * np.concatenate([[0], ends])[np.cumsum(split.value_lengths().to_numpy())]
-        yield from (data[low:high] for low, high in zip([0, *at.tolist()], at.tolist(), strict=False))
+        return flat, np.concatenate([[0], ends])[np.cumsum(split.value_lengths().to_numpy())].tolist()
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """Ids of each text as little-endian bytes."""
@@ -170,7 +184,9 @@ class WordIds:
         cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(texts)]
         for low, high in zip(cuts, cuts[1:], strict=False):
             if high > low:
-                yield from self._texts(texts.slice(low, high - low))
+                # while the caller packs a shard, this holds no more than the ids
+                flat, ends = self._texts(texts.slice(low, high - low))
+                yield from (flat[a:b].tobytes() for a, b in zip([0, *ends], ends, strict=False))
 
 
 @cache
@@ -179,6 +195,17 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``np.unique`` with inverse and counts, but sorts only the different codes."""
+    coded = pa.array(codes).dictionary_encode()
+    different = coded.dictionary.to_numpy()
+    order = np.argsort(different)
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    code = place[coded.indices.to_numpy()]
+    return different[order], code, np.bincount(code, minlength=len(order))
+
+
 def compress(
     ids: np.ndarray, first: int, end_id: int = END_ID,
     rounds: int = ROUNDS, rules: int = RULES, min_count: int = MIN_COUNT,
@@ -192,28 +219,40 @@ def compress(
             break
         left, right = symbols[:-1], symbols[1:]
         # a count per hash bucket is never below that of a pair in it, so light buckets are skipped
-        bucket = (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> _SHIFT
-        heavy = np.bincount(bucket, minlength=_BUCKETS)
+        bucket = left * np.uint32(0x9E3779B1)
+        bucket += right * np.uint32(0x85EBCA77)
+        bucket >>= _SHIFT
+        pieces = [slice(low, low + 4 * AT_ONCE) for low in range(0, len(bucket), 4 * AT_ONCE)]
+        heavy = sum(np.bincount(bucket[piece], minlength=_BUCKETS) for piece in pieces)
         level = max(min_count, int(np.partition(heavy, -rules)[-rules]))
-        may = (heavy >= level)[bucket] & (left != end_id) & (right != end_id)
+        may = (left != end_id) & (right != end_id)
+        for piece in pieces:
+            may[piece] &= (heavy >= level)[bucket[piece]]
         at = np.flatnonzero(may)
         if not len(at):
             break
-        codes = (left[at].astype(np.int64) << 32) | right[at]
-        pairs, code, counts = np.unique(codes, return_inverse=True, return_counts=True)
+        codes = left[at].astype(np.int64)
+        codes <<= 32
+        codes |= right[at]
+        pairs, code, counts = _counted(codes)
+        del bucket, may, codes
         best = np.argsort(-counts, kind="stable")[:rules]
         chosen = np.zeros(len(pairs), bool)
         chosen[best[counts[best] >= min_count]] = True
-        at = at[chosen[code]]
-        code = code[chosen[code]]
+        kept = chosen[code]
+        at, code = at[kept], code[kept]
         if not len(at):
             break
         # in a run of overlapping pairs, every second one from its start
         begins = np.diff(at, prepend=-2) > 1
         order = np.arange(len(at))
-        taken = (order - np.maximum.accumulate(np.where(begins, order, 0))) % 2 == 0
+        start = np.where(begins, order, 0)
+        order -= np.maximum.accumulate(start, out=start)
+        taken = order % 2 == 0
+        del begins, order, start
         at, code = at[taken], code[taken]
-        used, slot = np.unique(code, return_inverse=True)
+        present = np.bincount(code, minlength=len(pairs)) > 0
+        used, slot = np.flatnonzero(present), (np.cumsum(present) - 1)[code]
         made = np.stack([pairs[used] >> 32, pairs[used] & 0xFFFFFFFF], axis=1)
         both = np.concatenate([np.ones(first, np.int64), lengths])[made].sum(axis=1)
         symbols[at] = first + len(found) + slot
@@ -238,10 +277,7 @@ class Grammar:
             ids[middle : at + widths[n]] = ids[starts[right] : starts[right] + widths[right]]
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        widths = self.widths[symbols]
-        ends = np.cumsum(widths)
-        shift = self._starts[symbols] - (ends - widths)
-        return self._ids[np.repeat(shift, widths) + np.arange(ends[-1] if len(ends) else 0)]
+        return _gathered(self._ids, self._starts, self.widths, symbols)[0]
 
 
 def pack(doc_ids: list[int | None], texts: list[bytes], first: int, end_id: int) -> bytes:
@@ -336,6 +372,8 @@ def write_shards(
         base = held = number = 0
 
         def flush() -> pa.RecordBatch:
+            # what encoding took is free for packing
+            pa.default_memory_pool().release_unused()
             name = files.attempt_name("shard", number, ".rpr")
             with files.output(folder, name) as out:
                 out.write(pack(keys, texts, first, end_id))
@@ -355,7 +393,8 @@ def write_shards(
         if keys:
             yield flush()
 
-    return written(ordered.mapInArrow(write, _MANIFEST), "shards")
+    with small_batches(documents.sparkSession, BATCH_BYTES):
+        return written(ordered.mapInArrow(write, _MANIFEST), "shards")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
@@ -382,7 +421,6 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 with files.input_stream(row["shard"]) as raw:
                     shard = Shard(raw.read())
                 ids = shard.grammar.expand(shard.symbols)
-                view = memoryview(ids.tobytes())
                 at = shard.id_starts.tolist()
                 spans = list(zip(at, at[1:], strict=False))
                 yield pa.RecordBatch.from_arrays(
@@ -390,7 +428,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                         pa.array([shard.doc_id(n) for n in range(len(shard))], pa.int64()),
                         pa.array([row["start"] + low for low, _ in spans], pa.int64()),
                         pa.array([high - low for low, high in spans], pa.int64()),
-                        pa.array([zlib.crc32(view[4 * a : 4 * b]) for a, b in spans], pa.int64()),
+                        pa.array([zlib.crc32(ids[a:b]) for a, b in spans], pa.int64()),
                     ],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )

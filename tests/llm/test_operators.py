@@ -9,6 +9,7 @@ import hashlib
 import io
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -518,6 +519,50 @@ def test_shards_round_trip(spark):
     assert token_ids.encoded_documents(documents(spark, []), tokenizer_path()).count() == 0
 
 
+def test_workers_get_rows_in_small_batches(spark, monkeypatch):
+    class Checked:
+        def __init__(self, path):
+            self.words = token_ids.WordIds(path)
+            self.tokenizer = self.words.tokenizer
+
+        def encode(self, texts):
+            assert texts.nbytes < 1 << 16
+            return self.words.encode(texts)
+
+    monkeypatch.setattr(token_ids, "word_ids", Checked)
+    monkeypatch.setattr(token_ids, "BATCH_BYTES", 1 << 14, raising=False)
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting, None)
+    rows = documents(spark, [(n, "some words of a text " * 50) for n in range(800)])
+    assert token_ids.encoded_documents(rows, tokenizer_path()).count() == 800
+    assert spark.conf.get(setting, None) == before
+
+
+def test_ids_are_gathered_and_counted_in_little_memory():
+    rng = np.random.default_rng(5)
+    ids, sizes = np.arange(4_000, dtype="<u4"), np.tile(np.arange(5), 400)
+    starts = np.cumsum(sizes) - sizes
+    at = rng.integers(0, len(sizes), 1_000_000)
+    tracemalloc.start()
+    found, ends = token_ids._gathered(ids, starts, sizes, at)
+    assert tracemalloc.get_traced_memory()[1] < 40e6
+    tracemalloc.stop()
+    pieces = [range(starts[n], starts[n] + sizes[n]) for n in at[:2_000].tolist()]
+    assert found[: ends[1_999]].tolist() == [i for piece in pieces for i in piece]
+    assert len(found) == ends[-1] == sizes[at].sum()
+
+    symbols = rng.integers(5, 60, 2_000_000).astype(np.uint32)
+    symbols[::50] = token_ids.END_ID
+    token_ids.compress(symbols[:1_000], 60)
+    tracemalloc.start()
+    token_ids.compress(symbols, 60)
+    assert tracemalloc.get_traced_memory()[1] < 43 * len(symbols)
+    tracemalloc.stop()
+    codes = rng.integers(-9, 9, 5_000)
+    unique = np.unique(codes, return_inverse=True, return_counts=True)
+    assert all(np.array_equal(a, b) for a, b in zip(token_ids._counted(codes), unique, strict=True))
+
+
 def test_random_access_into_a_grammar():
     rng = random.Random(4)
     docs = [[rng.choice([5, 6, 7, 5, 6]) for _ in range(rng.randint(0, 400))] for _ in range(60)]
